@@ -20,7 +20,10 @@ def global_cumsum(df: DataFrame, order: str, values: list[str], blocks: int = 64
     probs = [i / blocks for i in range(1, blocks)]
     bounds = df.agg(F.percentile_approx(F.col(order).cast("double"), probs, 10_000)).scalar()
     x = F.col(order).cast("double")
-    blocked = df.withColumn("_block", F.size(F.filter(bounds, lambda b: b < x)))
+    # The subquery result is projected first: Spark does not allow a subquery
+    # inside a higher-order function.
+    blocked = (df.withColumn("_bounds", bounds)
+               .withColumn("_block", F.size(F.filter("_bounds", lambda b: b < x))).drop("_bounds"))
     totals = blocked.groupBy("_block").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
     wt = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_block", *[F.coalesce(F.sum(f"_t_{v}").over(wt), F.lit(0)).alias(f"_o_{v}")
