@@ -30,7 +30,10 @@ def global_cumsum(df: DataFrame, order: str, values: list[str], blocks: int = 64
                                         for v in values])
     frame = (0 if inclusive else -1)
     wl = Window.partitionBy("_block").orderBy(order).rowsBetween(Window.unboundedPreceding, frame)
-    out = blocked.join(F.broadcast(offsets), "_block")
+    # Left join (every block has an offsets row): an inner join would let the
+    # optimizer infer `_block IS NOT NULL` and push it through the aggregate
+    # into the scan, re-evaluating the order expression per bound there.
+    out = blocked.join(F.broadcast(offsets), "_block", "left")
     for v in values:
         out = out.withColumn(f"{prefix}{v}", F.col(f"_o_{v}") + F.coalesce(F.sum(v).over(wl), F.lit(0)))
     return out.drop("_block", *[f"_o_{v}" for v in values])

@@ -34,7 +34,7 @@ TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def labelled_docs(spark: SparkSession, d: str) -> DataFrame:
-    docs = read_table(spark, d, "documents").select("doc_id", "text")
+    docs = read_table(spark, d, "documents", ["doc_id", "text"], spread_key="doc_id")
     labels = read_table(spark, d, "labels").select("doc_id", "quality")
     return docs.join(labels, "doc_id").select(
         "doc_id", binarize_label("quality").alias("label"), F.col("text").alias("sentence"))
@@ -47,7 +47,7 @@ def _one_line(c):
 def csv_lines_layout_a(spark: SparkSession, d: str) -> DataFrame:
     """`"label","id","lang","source","u","text"` with label 0 or 4; quotes in
     the text are doubled, so a quote-aware reader recovers it."""
-    docs = read_table(spark, d, "documents").select("doc_id", "text", "lang", "source")
+    docs = read_table(spark, d, "documents", ["doc_id", "text", "lang", "source"], spread_key="doc_id")
     labels = read_table(spark, d, "labels").select("doc_id", "quality")
     text = F.replace(_one_line(F.col("text")), F.lit('"'), F.lit('""'))
     line = F.concat(F.lit('"'), (F.col("quality") * 4).cast("string"), F.lit('","'),
@@ -58,7 +58,7 @@ def csv_lines_layout_a(spark: SparkSession, d: str) -> DataFrame:
 
 def csv_lines_layout_b(spark: SparkSession, d: str) -> DataFrame:
     """`id,label,source,text`, unquoted."""
-    docs = read_table(spark, d, "documents").select("doc_id", "text", "source")
+    docs = read_table(spark, d, "documents", ["doc_id", "text", "source"], spread_key="doc_id")
     labels = read_table(spark, d, "labels").select("doc_id", "quality")
     line = F.concat_ws(",", F.col("doc_id").cast("string"), F.col("quality").cast("string"),
                        F.col("source"), _one_line(F.col("text")))
@@ -67,7 +67,7 @@ def csv_lines_layout_b(spark: SparkSession, d: str) -> DataFrame:
 
 def tsv_lines_text_first(spark: SparkSession, d: str) -> DataFrame:
     """`text[\\tlabel]`: documents without a label have no label field."""
-    docs = read_table(spark, d, "documents").select("doc_id", "text")
+    docs = read_table(spark, d, "documents", ["doc_id", "text"], spread_key="doc_id")
     labels = read_table(spark, d, "labels").select("doc_id", "quality")
     text = F.regexp_replace(F.col("text"), "\\r\\n|\\r|\\n|\\t", " ")
     line = F.when(F.col("quality").isNull(), text) \
@@ -76,7 +76,7 @@ def tsv_lines_text_first(spark: SparkSession, d: str) -> DataFrame:
 
 
 def tsv_lines_label_first(spark: SparkSession, d: str) -> DataFrame:
-    docs = read_table(spark, d, "documents").select("doc_id", "text")
+    docs = read_table(spark, d, "documents", ["doc_id", "text"], spread_key="doc_id")
     labels = read_table(spark, d, "labels").select("doc_id", "quality")
     text = F.regexp_replace(F.col("text"), "\\r\\n|\\r|\\n|\\t", " ")
     line = F.concat(F.col("quality").cast("string"), F.lit("\t"), text)

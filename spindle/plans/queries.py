@@ -46,7 +46,7 @@ def _r(c, digits: int = 6):
 
 # ---------------------------------------------------------------- word counts
 def word_count(spark: SparkSession, d: str) -> DataFrame:
-    docs = read_table(spark, d, "documents").select("text")
+    docs = read_table(spark, d, "documents", ["doc_id", "text"], spread_key="doc_id").select("text")
     return word_counts(line_words(text_to_lines(docs)))
 
 
@@ -166,7 +166,7 @@ def union_all_one_class(spark: SparkSession, d: str) -> DataFrame:
 
 # ----------------------------------------------------------------- features
 def tokens(spark: SparkSession, d: str) -> DataFrame:
-    return feat.doc_tokens(read_table(spark, d, "documents").select("doc_id", "text"))
+    return feat.doc_tokens(read_table(spark, d, "documents", ["doc_id", "text"], spread_key="doc_id"))
 
 
 def tf(spark: SparkSession, d: str) -> DataFrame:
@@ -258,7 +258,7 @@ def score_new(spark: SparkSession, d: str) -> DataFrame:
     path = model_path(spark, f"svm-{abs(hash(d))}")
     save_model(_model(spark, d, "svm"), path)
     loaded = PipelineModel.load(path)
-    docs = read_table(spark, d, "documents").select("doc_id", "text")
+    docs = read_table(spark, d, "documents", ["doc_id", "text"], spread_key="doc_id")
     labels = read_table(spark, d, "labels").select("doc_id")
     new = docs.join(labels, "doc_id", "left_anti").select("doc_id", F.col("text").alias("sentence"),
                                                          F.lit(None).cast("double").alias("label"))

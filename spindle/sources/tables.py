@@ -9,7 +9,25 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, data_dir: str, name: str, columns: list[str] | None = None,
+               spread_key: str | None = None) -> DataFrame:
+    """Scan a table. With `spread_key`, CPU-heavy row work downstream gets the
+    whole cluster even when the input has few splits (see `spread`)."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+    if columns:
+        df = df.select(*columns)
+    return spread(df, spread_key) if spread_key else df
+
+
+def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
+    """Hash-repartition by `key` only if the input has fewer partitions than
+    the cluster's parallelism (a file with one row group is one task). A large
+    input already has enough splits and is left as is, so no shuffle is added
+    where it would cost a full copy of the data. Hash (not round-robin)
+    partitioning keeps task retries deterministic without a sort."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)
