@@ -29,17 +29,19 @@ def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None
     return df
 
 
-def _labelled(df: DataFrame, label_raw: Column, sentence: Column, keep: list[str]) -> DataFrame:
+def _labelled(df: DataFrame, label_raw: Column, sentence: Column, keep: list[str], line: str) -> DataFrame:
     num = label_raw.try_cast("double")
     return df.select(*keep, binarize_label(num).alias("label"), sentence.alias("sentence"),
-                     (num.isNull() | sentence.isNull()).alias("_rejected"))
+                     (num.isNull() | sentence.isNull()).alias("_rejected"), F.col(line).alias("_line"))
 
 
 def _split_result(df: DataFrame, with_rejects: bool):
-    good = df.filter(~F.col("_rejected")).drop("_rejected")
+    """Good rows; with `with_rejects` also the rejected raw lines (`line`)."""
+    good = df.filter(~F.col("_rejected")).drop("_rejected", "_line")
     if not with_rejects:
         return good
-    return good, df.filter(F.col("_rejected")).drop("_rejected")
+    keep = [c for c in df.columns if c not in ("label", "sentence", "_rejected", "_line")]
+    return good, df.filter(F.col("_rejected")).select(*keep, F.col("_line").alias("line"))
 
 
 def parse_csv_layout_a(df: DataFrame, line: str = "value", keep: list[str] | None = None,
@@ -47,7 +49,7 @@ def parse_csv_layout_a(df: DataFrame, line: str = "value", keep: list[str] | Non
     """Layout A, split on every comma (quotes ignored, as the original job did):
     label = field 0 with quotes removed, sentence = field 5."""
     parts = java_split(F.col(line), ",")
-    out = _labelled(df, strip_quotes(F.get(parts, 0)), F.get(parts, 5), keep or [])
+    out = _labelled(df, strip_quotes(F.get(parts, 0)), F.get(parts, 5), keep or [], line)
     return _split_result(out, with_rejects)
 
 
@@ -55,7 +57,7 @@ def parse_csv_layout_b(df: DataFrame, line: str = "value", keep: list[str] | Non
                        with_rejects: bool = False):
     """Layout B, split on every comma: label = field 1, sentence = field 3."""
     parts = java_split(F.col(line), ",")
-    out = _labelled(df, F.get(parts, 1), F.get(parts, 3), keep or [])
+    out = _labelled(df, F.get(parts, 1), F.get(parts, 3), keep or [], line)
     return _split_result(out, with_rejects)
 
 
@@ -65,7 +67,7 @@ def parse_csv_quoted(df: DataFrame, line: str = "value", n_fields: int = 6, labe
     names = [f"f{i}" for i in range(n_fields)]
     schema = ", ".join(f"{n} string" for n in names)
     rec = F.from_csv(F.col(line), schema, {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
-    out = _labelled(df, rec[names[label_field]], rec[names[text_field]], keep or [])
+    out = _labelled(df, rec[names[label_field]], rec[names[text_field]], keep or [], line)
     return _split_result(out, with_rejects)
 
 
@@ -75,7 +77,7 @@ def parse_tsv_label_first(df: DataFrame, line: str = "value", keep: list[str] |
     parts = java_split(F.col(line), "\t")
     num = F.get(parts, 0).try_cast("double")
     out = df.select(*(keep or []), num.alias("label"), F.get(parts, 1).alias("sentence"),
-                    (num.isNull() | F.get(parts, 1).isNull()).alias("_rejected"))
+                    (num.isNull() | F.get(parts, 1).isNull()).alias("_rejected"), F.col(line).alias("_line"))
     return _split_result(out, with_rejects)
 
 
@@ -89,7 +91,7 @@ def parse_tsv_text_first(df: DataFrame, line: str = "value", default_label: floa
     num = raw.try_cast("double")
     label = F.when(F.size(parts) < 2, F.lit(default_label)).otherwise(num)
     out = df.select(*(keep or []), label.alias("label"), F.get(parts, 0).alias("sentence"),
-                    ((F.size(parts) >= 2) & num.isNull()).alias("_rejected"))
+                    ((F.size(parts) >= 2) & num.isNull()).alias("_rejected"), F.col(line).alias("_line"))
     return _split_result(out, with_rejects)
 
 
