@@ -47,7 +47,13 @@ def n_docs_of(docs: DataFrame) -> Column:
 def tfidf(tf: DataFrame, idf: DataFrame, term: str = "term") -> DataFrame:
     """Join on term. Neither side has a size bound (the vocabulary grows with
     the corpus), so the join strategy is left to AQE, which also splits a hot
-    term's partition (skew join)."""
+    term's partition (skew join).
+
+    Trade-off: the IDF branch re-reads and re-tokenizes the documents (the
+    optimizer turns its input into a distinct (doc, term), so the term
+    frequency shuffle is not shared). The alternative, one shuffle of
+    (doc, term) rows by term feeding both the document counts and a
+    co-partitioned join, puts every row of a hot term in one task."""
     return tf.join(idf.select(term, "idf"), term).withColumn("tfidf", F.col("tf") * F.col("idf"))
 
 

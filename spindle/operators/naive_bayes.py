@@ -25,33 +25,35 @@ CLASSES = (0.0, 1.0)
 
 def nb_exact(train: DataFrame, test: DataFrame, doc_id: str = "doc_id", text: str = "sentence",
              smoothing: float = 1.0) -> DataFrame:
-    """`(doc_id, label, prediction)` for the test rows."""
+    """`(doc_id, label, prediction)` for the test rows.
+
+    One vocabulary table `(term, idf, s0, s1)` carries everything the test
+    side needs (a single join); the constants (V, S_c, n_c, N) come from two
+    one-row aggregates used as scalar subqueries, never collected.
+    """
     a = float(smoothing)
+    k = float(len(CLASSES))
     tr_tf = term_frequencies(doc_tokens(train, doc_id, text), doc_id)
     idf = inverse_document_frequencies(tr_tf, n_docs_of(train))
-    labels = train.select(doc_id, "label")
-    tr_x = (tr_tf.join(idf.select("term", "idf"), "term")
-            .join(labels, doc_id)
-            .select("term", "label", (F.col("tf") * F.col("idf")).alias("x")))
-    # per term: ln(s_cj + a) for each class, one row per vocabulary term
-    per_term = tr_x.groupBy("term").agg(*[
-        F.ln(F.sum(F.when(F.col("label") == c, F.col("x")).otherwise(0.0)) + a).alias(f"lg{i}")
-        for i, c in enumerate(CLASSES)])
-    k = float(len(CLASSES))
-    vocab = idf.agg(F.count(F.lit(1)).cast("double")).scalar()
-    n_all = n_docs_of(train)
-    pis = [F.ln(train.filter(F.col("label") == c).agg(F.count(F.lit(1)).cast("double")).scalar() + a)
-           - F.ln(n_all + k * a) for c in CLASSES]
-    s_c = [tr_x.filter(F.col("label") == c).agg(F.coalesce(F.sum("x"), F.lit(0.0))).scalar() for c in CLASSES]
+    tr_x = (tr_tf.join(train.select(doc_id, "label"), doc_id)
+            .join(idf.select("term", "idf"), "term")
+            .select("term", "label", "idf", (F.col("tf") * F.col("idf")).alias("x")))
+    vocab = tr_x.groupBy("term").agg(
+        F.max("idf").alias("idf"),
+        *[F.sum(F.when(F.col("label") == c, F.col("x")).otherwise(0.0)).alias(f"s{i}")
+          for i, c in enumerate(CLASSES)])
+    vs = vocab.agg(F.struct(F.count(F.lit(1)).cast("double").alias("v"),
+                            *[F.sum(f"s{i}").alias(f"s{i}") for i in range(len(CLASSES))])).scalar()
+    ns = train.agg(F.struct(F.count(F.lit(1)).cast("double").alias("n"),
+                            *[F.sum(F.when(F.col("label") == c, 1.0).otherwise(0.0)).alias(f"n{i}")
+                              for i, c in enumerate(CLASSES)])).scalar()
 
     te_tf = term_frequencies(doc_tokens(test, doc_id, text), doc_id)
-    te_x = (te_tf.join(idf.select("term", "idf"), "term")
-            .join(per_term, "term")
-            .select(doc_id, (F.col("tf") * F.col("idf")).alias("x"), "lg0", "lg1"))
-    sums = te_x.groupBy(doc_id).agg(F.sum(F.col("x") * F.col("lg0")).alias("p0"),
-                                    F.sum(F.col("x") * F.col("lg1")).alias("p1"),
-                                    F.sum("x").alias("sx"))
+    te_x = te_tf.join(vocab, "term").select(doc_id, (F.col("tf") * F.col("idf")).alias("x"), "s0", "s1")
+    sums = te_x.groupBy(doc_id).agg(*[F.sum(F.col("x") * F.ln(F.col(f"s{i}") + a)).alias(f"p{i}")
+                                      for i in range(len(CLASSES))], F.sum("x").alias("sx"))
     scored = test.select(doc_id, "label").join(sums, doc_id, "left").na.fill(0.0, ["p0", "p1", "sx"])
-    score = [pis[i] + F.col(f"p{i}") - F.ln(s_c[i] + vocab * a) * F.col("sx") for i in range(2)]
+    score = [F.ln(ns[f"n{i}"] + a) - F.ln(ns["n"] + k * a) + F.col(f"p{i}")
+             - F.ln(vs[f"s{i}"] + vs["v"] * a) * F.col("sx") for i in range(len(CLASSES))]
     return scored.select(doc_id, "label", F.when(score[1] > score[0], F.lit(CLASSES[1]))
                          .otherwise(F.lit(CLASSES[0])).alias("prediction"))
