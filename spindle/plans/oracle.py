@@ -76,6 +76,7 @@ idf AS (SELECT term, count(*) AS df, ln(((SELECT count(*) FROM documents) + 1.0)
 ORACLE_SQL: dict[str, str] = {
     "word_count": _WORDS,
     "word_count_top": f"SELECT * FROM ({_WORDS}) ORDER BY n DESC, word ASC LIMIT 10",
+    "word_count_sorted": f"SELECT n, word FROM ({_WORDS})",
     "word_count_running": """
 WITH per AS (SELECT event_type AS word, date_trunc('day', ts) AS batch, count(*) AS n FROM events GROUP BY 1, 2)
 SELECT word, batch, n AS batch_n,
@@ -91,6 +92,17 @@ SELECT session_id, batch, total_hr, total_cal, total_n,
        CASE WHEN total_n <> 0 THEN total_hr // total_n END AS avg_hr,
        CASE WHEN total_n <> 0 THEN total_cal // total_n END AS avg_cal
 FROM st""",
+    "sensor_state_snapshot": _SENSOR_BATCHES + """,
+st AS (SELECT session_id, batch,
+         CAST(sum(CASE WHEN is_reset THEN 0 ELSE hr END) OVER w AS BIGINT) AS total_hr,
+         CAST(sum(CASE WHEN is_reset THEN 0 ELSE cal END) OVER w AS BIGINT) AS total_cal,
+         CAST(sum(CASE WHEN is_reset THEN 1 ELSE n END) OVER w AS BIGINT) AS total_n
+       FROM flag WINDOW w AS (PARTITION BY session_id, epoch ORDER BY batch ROWS UNBOUNDED PRECEDING)),
+last AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY batch DESC) AS rn FROM st)
+SELECT session_id, batch, total_hr, total_cal, total_n,
+       CASE WHEN total_n <> 0 THEN total_hr // total_n END AS avg_hr,
+       CASE WHEN total_n <> 0 THEN total_cal // total_n END AS avg_cal
+FROM last WHERE rn = 1""",
     "track_running_totals": _SENSOR_BATCHES + """
 SELECT session_id, batch,
        CAST(sum(CASE WHEN is_reset THEN 0 ELSE hr END) OVER w AS BIGINT) AS total_hr,

@@ -19,11 +19,11 @@ from spindle.operators.lookup import roles_of_user
 from spindle.operators.naive_bayes import nb_exact
 from spindle.operators.offsets import offset_ranges
 from spindle.operators.prefix import auc_rank_sum
-from spindle.operators.running import running_totals
+from spindle.operators.running import running_totals, state_as_of
 from spindle.operators.setops import hash_split, sample_fraction, subtract_keep_duplicates, union_all
 from spindle.operators.sliding import sliding_counts
 from spindle.operators.upsert import latest_per_key, to_cells
-from spindle.operators.wordcount import line_words, text_to_lines, top_words, word_counts
+from spindle.operators.wordcount import line_words, sorted_counts, text_to_lines, top_words, word_counts
 from spindle.plans import derived
 from spindle.sources.json import TWEET_SCHEMA, project_json
 from spindle.sources.kafka import kafka_value
@@ -40,6 +40,11 @@ WINDOW_SECONDS = 300
 LOOKUP_USER = "Customer#000000001"
 
 
+def _tag(d: str) -> str:
+    import hashlib
+    return hashlib.md5(d.encode()).hexdigest()[:12]
+
+
 def _r(c, digits: int = 6):
     return F.round(c, digits)
 
@@ -54,6 +59,12 @@ def word_count_top(spark: SparkSession, d: str) -> DataFrame:
     return top_words(word_count(spark, d), TOP_K)
 
 
+def word_count_sorted(spark: SparkSession, d: str) -> DataFrame:
+    """Every word as (n, word), sorted by count descending (range-partitioned
+    global sort), the per-batch output of the running word count."""
+    return sorted_counts(word_count(spark, d))
+
+
 # -------------------------------------------------------------- running state
 def word_count_running(spark: SparkSession, d: str) -> DataFrame:
     per = word_counts(derived.event_words(spark, d), by=["batch"])  # (batch, word, n)
@@ -79,6 +90,14 @@ def sensor_running_avg(spark: SparkSession, d: str) -> DataFrame:
                      int_div("total_cal", "total_n").alias("avg_cal"))
 
 
+def sensor_state_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    """What the state stream prints at its last batch: every session's state
+    as of that batch (untouched sessions keep their last state)."""
+    states = sensor_running_avg(spark, d)
+    last = read_table(spark, d, "events").agg(F.max(bucket_start("ts", derived.SENSOR_BATCH))).scalar()
+    return state_as_of(states, "session_id", "batch", last)
+
+
 def track_running_totals(spark: SparkSession, d: str) -> DataFrame:
     per = _sensor_batches(spark, d)
     reset = (F.col("hr") == -1) & (F.col("cal") == -1)
@@ -255,7 +274,7 @@ def score_new(spark: SparkSession, d: str) -> DataFrame:
     from spindle.session import ensure_checkpoint_dir
     from spindle.sinks.models import model_path, save_model
     ensure_checkpoint_dir(spark)
-    path = model_path(spark, f"svm-{abs(hash(d))}")
+    path = model_path(spark, f"svm-{_tag(d)}")
     save_model(_model(spark, d, "svm"), path)
     loaded = PipelineModel.load(path)
     docs = read_table(spark, d, "documents", ["doc_id", "text"], spread_key="doc_id")
@@ -267,6 +286,20 @@ def score_new(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", vector_to_array("rawPrediction")[1].alias("score"), "prediction")
 
 
+def libsvm_features(spark: SparkSession, d: str) -> DataFrame:
+    """Hashed TF-IDF features written as LIBSVM text under the shared folder
+    and loaded back with the feature count inferred from the file."""
+    from spindle.session import checkpoint_dir, ensure_checkpoint_dir
+    from spindle.sources.text import read_libsvm, write_libsvm
+    ensure_checkpoint_dir(spark)
+    train, _ = _split(spark, d)
+    pm = feat.hashed_tfidf(train, models.SVM_BUCKETS)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/libsvm/{_tag(d)}"
+    write_libsvm(pm.transform(train), path)
+    from pyspark.ml.functions import vector_to_array
+    return read_libsvm(spark, path).select("label", vector_to_array("features").alias("features"))
+
+
 # ------------------------------------------------------------------- lookup
 def key_role_lookup(spark: SparkSession, d: str) -> DataFrame:
     return roles_of_user(derived.users(spark, d), derived.user_roles(spark, d), LOOKUP_USER)
@@ -275,8 +308,10 @@ def key_role_lookup(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_count": word_count,
     "word_count_top": word_count_top,
+    "word_count_sorted": word_count_sorted,
     "word_count_running": word_count_running,
     "sensor_running_avg": sensor_running_avg,
+    "sensor_state_snapshot": sensor_state_snapshot,
     "track_running_totals": track_running_totals,
     "session_marker_totals": session_marker_totals,
     "sliding_count": sliding_count,
@@ -302,6 +337,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nb_predict_exact": nb_predict_exact,
     "nb_accuracy": nb_accuracy,
     "score_new": score_new,
+    "libsvm_features": libsvm_features,
     "key_role_lookup": key_role_lookup,
 }
 
