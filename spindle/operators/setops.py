@@ -44,7 +44,12 @@ def hash_bucket(id_col: str | Column, seed: int = 11, buckets: int = 100) -> Col
 
 
 def hash_split(df: DataFrame, id_col: str, fraction: float, seed: int = 11) -> tuple[DataFrame, DataFrame]:
-    """(train, test) with `fraction` of ids in train; test is the remainder
-    obtained by subtracting train, as the original jobs did."""
-    train = df.filter(hash_bucket(id_col, seed) < int(round(fraction * 100)))
-    return train, subtract_keep_duplicates(df, train)
+    """(train, test) with `fraction` of ids in train.
+
+    test = the rows not in train. Because the split is a function of the id,
+    two equal rows always land on the same side, so `subtract(df, train)`
+    (see `subtract_keep_duplicates`) is exactly the complement filter used
+    here - same rows, duplicates and null ids included, without a join that
+    would shuffle every column of both sides."""
+    in_train = F.coalesce(hash_bucket(id_col, seed) < int(round(fraction * 100)), F.lit(False))
+    return df.filter(in_train), df.filter(~in_train)

@@ -27,7 +27,8 @@ KAFKA_PARTITIONS = 4
 HOUR = 3600
 DAY = 86400
 SENSOR_BATCH = HOUR   # one micro-batch per hour of events
-SENSOR_CHUNK = DAY    # scan chunk for long sessions
+SENSOR_CHUNK = DAY    # scan chunk of (session, hour) rows: at most 24 rows
+ROW_CHUNK = 60        # scan chunk of raw readings (row-level rules): one minute
 WORD_BATCH = DAY
 WORD_CHUNK = 7 * DAY
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"

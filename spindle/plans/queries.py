@@ -111,7 +111,7 @@ def session_marker_totals(spark: SparkSession, d: str) -> DataFrame:
     (state cleared); sessions are numbered per key by markers seen before."""
     r = derived.sensor_readings(spark, d).withColumn("m", F.col("is_marker").cast("bigint"))
     seen = running_totals(r, "session_id", ["ts", "event_id"], ["m"], prefix="cum_",
-                          chunk=bucket_start("ts", derived.SENSOR_CHUNK))
+                          chunk=bucket_start("ts", derived.ROW_CHUNK))
     seen = seen.withColumn("session_no", F.col("cum_m") - F.col("m"))
     reading = ~F.col("is_marker")
     agg = seen.groupBy("session_id", "session_no").agg(
@@ -212,8 +212,10 @@ def _split(spark: SparkSession, d: str):
 
 
 def train_test_subtract(spark: SparkSession, d: str) -> DataFrame:
-    _, test = _split(spark, d)
-    return test
+    """Test rows as `all minus train` with an explicit subtract (left-anti
+    join on every column, duplicates kept)."""
+    train, _ = _split(spark, d)
+    return subtract_keep_duplicates(derived.labelled_docs(spark, d), train)
 
 
 def sample_60(spark: SparkSession, d: str) -> DataFrame:

@@ -82,6 +82,7 @@ def test_split_subtract_union(spark):
     tr, te = hash_split(lab, "doc_id", 0.6)
     assert tr.count() + te.count() == lab.count()
     assert tr.join(te, "doc_id").count() == 0
+    assert sorted(r.doc_id for r in subtract_keep_duplicates(lab, tr).collect()) == sorted(r.doc_id for r in te.collect())
 
 
 def test_svm_auc_close_to_sgd(spark):
