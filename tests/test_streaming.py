@@ -110,3 +110,44 @@ def test_stop_gracefully(spark, scratch):
     stop_gracefully(q)
     assert not q.isActive
     assert {r.word for r in spark.sql("select * from wc3").collect()} == {"a", "b"}
+
+
+def test_sliding_stream_and_progress_offsets(spark, scratch):
+    from spindle.operators.offsets import offsets_from_progress
+    from spindle.operators.sliding import sliding_counts
+    from spindle.streaming.sliding import sliding_counts_stream
+    ev = spark.read.parquet(f"{SF001}/events.parquet").select("ts", "event_type")
+    src = os.path.join(scratch, "ev")
+    ev.write.parquet(src)
+    stream = spark.readStream.schema(ev.schema).parquet(src)
+    q = start(sliding_counts_stream(stream, "ts", "event_type", "5 minutes", "1 minute", watermark=None),
+              "slide_t", "complete", trigger={"availableNow": True},
+              checkpoint_location=os.path.join(scratch, "ckpt-slide"))
+    q.awaitTermination(300)
+    got = spark.sql("select * from slide_t")
+    want = sliding_counts(ev, "ts", "event_type", 300, 60)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    ranges = offsets_from_progress([p for p in q.recentProgress])
+    assert ranges and all(r[3] is not None for r in ranges)
+
+
+def test_sensor_stream_remove_on_reset(spark, scratch):
+    rows = [("k", 70, 2), ("k", 80, 4)], [("k", -1, -1)], [("k", 90, 6)]
+    src = os.path.join(scratch, "sens")
+    for i, batch in enumerate(rows):
+        spark.createDataFrame(batch, "session_id string, heart_rate int, calorie int").coalesce(1) \
+            .write.mode("overwrite").parquet(os.path.join(src + "-parts", f"b{i}"))
+    os.makedirs(src)
+    for i in range(len(rows)):
+        d = os.path.join(src + "-parts", f"b{i}")
+        for f in os.listdir(d):
+            if f.endswith(".parquet"):
+                os.link(os.path.join(d, f), os.path.join(src, f"b{i}-{f}"))
+    stream = spark.readStream.schema("session_id string, heart_rate int, calorie int") \
+        .option("maxFilesPerTrigger", 1).parquet(src)
+    q = start(sensor_state_stream(stream, track_count=True, on_reset="remove"), "sens_rm", "update",
+              trigger={"availableNow": True}, checkpoint_location=os.path.join(scratch, "ckpt-rm"))
+    q.awaitTermination(300)
+    got = [(r.total_hr, r.total_cal, r.total_n) for r in spark.sql("select * from sens_rm").collect()]
+    # after the end marker the state is gone, so the next batch starts from zero (no phantom count)
+    assert sorted(got) == sorted([(150, 6, 2), (0, 0, 1), (90, 6, 1)])
