@@ -35,7 +35,7 @@ _ONE_LINE = f"regexp_replace(text, '{_LINE_BREAK}', ' ', 'g')"
 
 _SPLIT = "(((doc_id % 1000003) * 7919 + 11) % 1000003) % 100 < 60"
 
-_LABELLED = """SELECT d.doc_id, CASE WHEN l.quality = 0 THEN 0.0 ELSE 1.0 END AS label, d.text AS sentence
+_LABELLED = """SELECT d.doc_id, CASE WHEN l.quality = 0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS label, d.text AS sentence
                FROM documents d JOIN labels l USING (doc_id)"""
 
 _WORDS = f"""
@@ -142,17 +142,17 @@ FROM events GROUP BY 1, 2, 3""",
     "csv_label_naive": f"""
 WITH l AS ({_CSV_A}),
 p AS (SELECT doc_id, {_jsplit('line', "','")} AS parts FROM l)
-SELECT doc_id, CASE WHEN TRY_CAST(replace(parts[1], '"', '') AS DOUBLE) = 0 THEN 0.0 ELSE 1.0 END AS label,
+SELECT doc_id, CASE WHEN TRY_CAST(replace(parts[1], '"', '') AS DOUBLE) = 0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS label,
        parts[6] AS sentence
 FROM p WHERE TRY_CAST(replace(parts[1], '"', '') AS DOUBLE) IS NOT NULL AND parts[6] IS NOT NULL""",
     "csv_label_quoted": f"""
-SELECT doc_id, CASE WHEN quality = 0 THEN 0.0 ELSE 1.0 END AS label, one_line AS sentence FROM ({_CSV_A})""",
+SELECT doc_id, CASE WHEN quality = 0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS label, one_line AS sentence FROM ({_CSV_A})""",
     "csv_layout_b": f"""
 WITH l AS (SELECT d.doc_id, CAST(d.doc_id AS VARCHAR) || ',' || CAST(l.quality AS VARCHAR) || ',' || d.source
                   || ',' || {_ONE_LINE.replace('text', 'd.text')} AS line
            FROM documents d JOIN labels l USING (doc_id)),
 p AS (SELECT doc_id, {_jsplit('line', "','")} AS parts FROM l)
-SELECT doc_id, CASE WHEN TRY_CAST(parts[2] AS DOUBLE) = 0 THEN 0.0 ELSE 1.0 END AS label, parts[4] AS sentence
+SELECT doc_id, CASE WHEN TRY_CAST(parts[2] AS DOUBLE) = 0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS label, parts[4] AS sentence
 FROM p WHERE TRY_CAST(parts[2] AS DOUBLE) IS NOT NULL AND parts[4] IS NOT NULL""",
     "tsv_default_label": f"""
 WITH d AS (SELECT doc_id, regexp_replace(text, '\\r\\n|\\r|\\n|\\t', ' ', 'g') AS t FROM documents),
@@ -211,7 +211,7 @@ sc AS (SELECT te.doc_id, te.label, coalesce(s.p0, 0) AS p0, coalesce(s.p1, 0) AS
        FROM test te LEFT JOIN sums s USING (doc_id))
 SELECT doc_id, label,
        CASE WHEN (ln(cnt.n1 + 1) - ln(cnt.n + 2)) + p1 - ln(k.s1 + k.v) * sx
-               > (ln(cnt.n0 + 1) - ln(cnt.n + 2)) + p0 - ln(k.s0 + k.v) * sx THEN 1.0 ELSE 0.0 END AS prediction
+               > (ln(cnt.n0 + 1) - ln(cnt.n + 2)) + p0 - ln(k.s0 + k.v) * sx THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction
 FROM sc, cnt, k""",
     "key_role_lookup": """
 SELECT c.c_name AS username, o.o_orderpriority AS role
