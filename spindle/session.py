@@ -44,11 +44,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a private one only if unset.
 
     On a cluster `spark.checkpoint.dir` names a shared (distributed) folder and is
-    used as is. Tests and local runs have none, so a fresh scratch folder is made.
+    used as is; if it is unset there, this fails rather than fall back to a
+    machine-local folder that other executors cannot see. Local-mode runs
+    (tests, the bench) get a fresh scratch folder.
     """
     current = checkpoint_dir(spark)
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is not set; point it at a shared folder")
     path = tempfile.mkdtemp(prefix="spindle-ckpt-", dir=os.environ.get("SPINDLE_SCRATCH", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

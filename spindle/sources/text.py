@@ -21,6 +21,12 @@ SENTENCE_SCHEMA = T.StructType([
 ])
 
 
+def sentences(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """In-memory `(label, sentence)` rows with the declared schema (small
+    literal inputs such as examples; real inputs come from scans)."""
+    return spark.createDataFrame(rows, SENTENCE_SCHEMA)
+
+
 def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
     """Text-file scan, one row per line in column `value`."""
     df = spark.read.text(path)

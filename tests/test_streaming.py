@@ -151,3 +151,37 @@ def test_sensor_stream_remove_on_reset(spark, scratch):
     got = [(r.total_hr, r.total_cal, r.total_n) for r in spark.sql("select * from sens_rm").collect()]
     # after the end marker the state is gone, so the next batch starts from zero (no phantom count)
     assert sorted(got) == sorted([(150, 6, 2), (0, 0, 1), (90, 6, 1)])
+
+
+def test_sensor_stream_restart_keeps_state(spark, scratch):
+    """Stop after batch 0, start again on the same checkpoint: state continues."""
+    src = os.path.join(scratch, "s")
+    os.makedirs(src)
+    ckpt = os.path.join(scratch, "ckpt-restart")
+    schema = "session_id string, heart_rate int, calorie int"
+
+    def add(i, rows):
+        part = os.path.join(scratch, f"p{i}")
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(part)
+        for f in os.listdir(part):
+            if f.endswith(".parquet"):
+                os.link(os.path.join(part, f), os.path.join(src, f"b{i}-{f}"))
+
+    out = os.path.join(scratch, "out")
+
+    def write(batch, batch_id):  # idempotent per batch id
+        (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out))
+
+    def run(name):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+        q = start(sensor_state_stream(stream), name, "update", trigger={"availableNow": True},
+                  checkpoint_location=ckpt, foreach_batch=write)
+        q.awaitTermination(300)
+        return [(r.batch_id, r.total_hr, r.total_cal, r.total_n, r.avg_hr, r.avg_cal)
+                for r in spark.read.parquet(out).orderBy("batch_id").collect()]
+
+    add(0, [("k", 70, 2), ("k", 80, 4)])
+    assert run("rs0") == [(0, 150, 6, 2, 75, 3)]
+    add(1, [("k", 60, 3)])
+    assert run("rs1") == [(0, 150, 6, 2, 75, 3), (1, 210, 9, 3, 70, 3)]
