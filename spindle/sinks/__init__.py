@@ -1,0 +1 @@
+"""Sinks: keyed upsert table, model persistence."""
