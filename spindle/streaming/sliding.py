@@ -1,15 +1,41 @@
 """Sliding-window counts on a stream, event time with a watermark so old
-windows are finalized and their state dropped."""
+windows are finalized and their state dropped.
+
+`pre_aggregate=True` (append mode) chains two stateful aggregations: events
+are first counted per key in tumbling buckets of one slide, and only those
+bucket rows are spread over the windows containing them (`window_time` of the
+bucket carries the event time forward). With a 5-minute window and 1-second
+slide a plain `window()` keeps 300 copies of every event in state; this keeps
+one row per key and second. Windows are emitted once the watermark passes
+their end. Watermarks need a zone-aware timestamp, so a zone-free event time
+is cast with the session time zone.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _event_time(df: DataFrame, ts: str) -> DataFrame:
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        df = df.withColumn(ts, F.col(ts).cast("timestamp"))
+    return df
 
 
 def sliding_counts_stream(df: DataFrame, ts: str, key: str, size: str = "5 minutes",
-                          slide: str = "1 second", watermark: str | None = "10 minutes") -> DataFrame:
-    if watermark:
-        df = df.withWatermark(ts, watermark)
-    return (df.groupBy(F.window(ts, size, slide).alias("w"), key).agg(F.count(F.lit(1)).alias("n"))
-            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), key, "n"))
+                          slide: str = "1 second", watermark: str | None = "10 minutes",
+                          pre_aggregate: bool = False) -> DataFrame:
+    if pre_aggregate:
+        if not watermark:
+            raise ValueError("pre_aggregate needs a watermark (append mode)")
+        df = _event_time(df, ts).withWatermark(ts, watermark)
+        buckets = df.groupBy(F.window(ts, slide).alias("_b"), key).agg(F.count(F.lit(1)).alias("_n"))
+        out = buckets.groupBy(F.window(F.window_time("_b"), size, slide).alias("w"), key) \
+            .agg(F.sum("_n").alias("n"))
+    else:
+        if watermark:
+            df = _event_time(df, ts).withWatermark(ts, watermark)
+        out = df.groupBy(F.window(ts, size, slide).alias("w"), key).agg(F.count(F.lit(1)).alias("n"))
+    return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), key, "n")
