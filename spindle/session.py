@@ -78,3 +78,41 @@ def streaming_checkpoint(spark: SparkSession, query_name: str) -> str:
     if not root:
         raise ValueError("set spark.checkpoint.dir (or pass checkpoint_location) for streaming queries")
     return f"{root.rstrip('/')}/streams/{query_name}"
+
+
+# Sizing targets for cluster runs.
+TARGET_SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+TARGET_SPLIT_BYTES = 256 * 1024 * 1024
+BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+
+
+def cluster_settings(input_bytes: int, total_cores: int) -> dict:
+    """Settings for a cluster run over `input_bytes` of input on `total_cores`.
+
+    * shuffle partitions: enough for ~256 MB per partition at the largest
+      shuffle (taken as the input size), at least 2 per core; AQE then
+      coalesces small ones toward the advisory size, so over-provisioning
+      is cheap while under-provisioning spills;
+    * scan splits of 256 MB;
+    * skew join: a partition 5x the median and over 512 MB is split;
+    * broadcast only what is measured under 64 MB at run time (AQE), never a
+      side whose size is unknown at planning;
+    * RocksDB state store with changelog checkpoints, so streaming state
+      (sessions, words, windows) lives off-heap and commits incrementally.
+    """
+    shuffle = max(2 * total_cores, -(-int(input_bytes) // TARGET_SHUFFLE_PARTITION_BYTES))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_SHUFFLE_PARTITION_BYTES // 2),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(TARGET_SPLIT_BYTES),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(BROADCAST_LIMIT_BYTES),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
