@@ -32,8 +32,15 @@ def term_frequencies(tokens: DataFrame, doc_id: str = "doc_id", term: str = "ter
 
 def inverse_document_frequencies(tf: DataFrame, n_docs: Column, term: str = "term",
                                  min_doc_freq: int = 0) -> DataFrame:
-    """`(term, df, idf)`. `n_docs` is a Column (e.g. a scalar subquery)."""
-    out = tf.groupBy(term).agg(F.count(F.lit(1)).alias("df"))
+    """`(term, df, idf)`. `n_docs` is a Column (e.g. a scalar subquery).
+
+    df counts the rows with tf > 0 (every row: tf >= 1). Spelling it through
+    the `tf` value keeps the term-frequency aggregate intact in this branch
+    (a plain row count lets the optimizer reduce it to a distinct), so where
+    that aggregate has its own (doc, term) shuffle - any input with enough
+    splits - the shuffle is reused by the TF-IDF join branch and documents
+    are tokenized once."""
+    out = tf.groupBy(term).agg(F.sum(F.when(F.col("tf") > 0, 1).otherwise(0)).cast("bigint").alias("df"))
     if min_doc_freq:
         out = out.filter(F.col("df") >= min_doc_freq)
     return out.select(term, "df", F.ln((n_docs + 1) / (F.col("df") + 1)).alias("idf"))
@@ -49,11 +56,10 @@ def tfidf(tf: DataFrame, idf: DataFrame, term: str = "term") -> DataFrame:
     the corpus), so the join strategy is left to AQE, which also splits a hot
     term's partition (skew join).
 
-    Trade-off: the IDF branch re-reads and re-tokenizes the documents (the
-    optimizer turns its input into a distinct (doc, term), so the term
-    frequency shuffle is not shared). The alternative, one shuffle of
+    The term frequency shuffle is shared with the IDF branch (see
+    `inverse_document_frequencies`). The alternative, one shuffle of
     (doc, term) rows by term feeding both the document counts and a
-    co-partitioned join, puts every row of a hot term in one task."""
+    co-partitioned join, would put every row of a hot term in one task."""
     return tf.join(idf.select(term, "idf"), term).withColumn("tfidf", F.col("tf") * F.col("idf"))
 
 

@@ -4,6 +4,7 @@ columns a query does not use and pushes filters into the scan."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -22,12 +23,17 @@ def read_table(spark: SparkSession, data_dir: str, name: str, columns: list[str]
 
 
 def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
-    """Hash-repartition by `key` only if the input has fewer partitions than
-    the cluster's parallelism (a file with one row group is one task). A large
-    input already has enough splits and is left as is, so no shuffle is added
-    where it would cost a full copy of the data. Hash (not round-robin)
-    partitioning keeps task retries deterministic without a sort."""
+    """Hash-repartition on `xxhash64(key)` only if the input has fewer
+    partitions than the cluster's parallelism (a file with one row group is
+    one task). A large input already has enough splits and is left as is, so
+    no shuffle is added where it would cost a full copy of the data.
+
+    Hash (not round-robin) partitioning keeps task retries deterministic
+    without a sort. Partitioning on an expression of the key rather than the
+    key keeps the plan shape of a large input: an aggregate on (key, ...)
+    downstream still has its own shuffle, which other branches of the same
+    query can reuse (term frequencies feeding both IDF and the TF-IDF join)."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target, key)
+    return df.repartition(target, F.xxhash64(key))

@@ -46,3 +46,11 @@ def test_sliding_spreads_buckets_not_rows(spark):
     first_partial = plan.rindex("partial_count")
     expand = plan.find("Expand")
     assert 0 <= expand < first_partial
+
+
+def test_tfidf_tokenizes_once(spark):
+    """The term-frequency shuffle is shared by the IDF and join branches."""
+    df = QUERIES["tfidf"](spark, SF001)
+    df.collect()
+    final = _plan(df).split("== Initial Plan ==")[0]
+    assert final.count("Generate posexplode") == 1
