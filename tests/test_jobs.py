@@ -76,3 +76,13 @@ def test_tweets_to_table_job(spark, scratch):
     got = table.read(spark)
     assert got.count() == recs.select("key").distinct().count()
     assert spark.read.parquet(os.path.join(scratch, "audit")).agg(F.sum("n_records")).first()[0] == recs.count()
+
+
+def test_command_line_sentiment(spark, scratch, capsys):
+    import json as _json
+    from spindle.__main__ import main
+    train = _write_lines(derived.csv_lines_layout_b(spark, SF001), os.path.join(scratch, "cl_train"))
+    test = _write_lines(derived.csv_lines_layout_a(spark, SF001), os.path.join(scratch, "cl_test"))
+    main(["sentiment", "--train", train, "--test", test, "--iterations", "5"])
+    out = _json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert 0 <= out["auc"]["auc"] <= 1 and out["accuracy"]["n_test"] == 87
