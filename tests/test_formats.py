@@ -76,3 +76,23 @@ def test_kafka_options():
     assert o["subscribe"] == "a,b" and o["startingOffsets"] == "earliest"
     assert o["kafka.security.protocol"] == "SASL_PLAINTEXT" and o["minPartitions"] == "4"
     assert o["kafka.sasl.kerberos.service.name"] == "kafka"
+
+
+def test_jdbc_properties_never_carry_a_password_unless_given():
+    from spindle.sources.jdbc import jdbc_properties
+    assert jdbc_properties("app") == {"user": "app", "fetchsize": "10000"}
+    p = jdbc_properties("app", "pw", driver="com.mysql.cj.jdbc.Driver")
+    assert p["password"] == "pw" and p["driver"] == "com.mysql.cj.jdbc.Driver"
+
+
+def test_console_sink_prints_batches(spark, scratch, capfd):
+    from spindle.streaming.control import start
+    from spindle.streaming.wordcount import running_word_counts
+    src = os.path.join(scratch, "c")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write("hello world hello\n")
+    q = start(running_word_counts(spark.readStream.text(src), sort=True), "console_t", "complete",
+              sink="console", trigger={"availableNow": True}, checkpoint_location=os.path.join(scratch, "ck"))
+    q.awaitTermination(120)
+    assert q.lastProgress["numInputRows"] == 1
