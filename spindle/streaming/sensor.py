@@ -28,8 +28,11 @@ def _tdiv(a: int, b: int):
     return q if (a >= 0) == (b > 0) else -q
 
 
-def _state_fn(track_count: bool, on_reset: str):
+def _state_fn(track_count: bool, on_reset: str, idle_timeout_ms: int | None = None):
     def update(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if idle_timeout_ms is not None and state.hasTimedOut:
+            state.remove()  # session idle too long: its state is dropped, nothing is emitted
+            return
         hr = cal = n = 0
         for pdf in chunks:
             hr += int(pdf["heart_rate"].sum())
@@ -45,6 +48,8 @@ def _state_fn(track_count: bool, on_reset: str):
         else:
             th, tc, tn = th + hr, tc + cal, tn + n
             state.update((th, tc, tn))
+        if idle_timeout_ms is not None and state.exists:
+            state.setTimeoutDuration(idle_timeout_ms)
         row = {"session_id": [key[0]], "total_hr": [th], "total_cal": [tc]}
         if track_count:
             row["total_n"] = [tn]
@@ -55,8 +60,12 @@ def _state_fn(track_count: bool, on_reset: str):
 
 
 def sensor_state_stream(readings: DataFrame, track_count: bool = True, on_reset: str = "keep",
-                        key: str = "session_id") -> DataFrame:
-    """`readings`: streaming rows (session_id, heart_rate, calorie)."""
+                        key: str = "session_id", idle_timeout_ms: int | None = None) -> DataFrame:
+    """`readings`: streaming rows (session_id, heart_rate, calorie).
+
+    `idle_timeout_ms`: drop a session's state after that long (processing
+    time) without readings; without it state lives for ever, as in the
+    original jobs."""
     key_type = readings.schema[key].dataType.simpleString()
     out = f"session_id {key_type}, total_hr bigint, total_cal bigint"
     if track_count:
@@ -64,5 +73,6 @@ def sensor_state_stream(readings: DataFrame, track_count: bool = True, on_reset:
     state = "hr bigint, cal bigint, n bigint"
     return (readings.select(key, "heart_rate", "calorie")
             .groupBy(key)
-            .applyInPandasWithState(_state_fn(track_count, on_reset), out, state, "update",
-                                    GroupStateTimeout.NoTimeout))
+            .applyInPandasWithState(_state_fn(track_count, on_reset, idle_timeout_ms), out, state, "update",
+                                    GroupStateTimeout.ProcessingTimeTimeout if idle_timeout_ms is not None
+                                    else GroupStateTimeout.NoTimeout))
