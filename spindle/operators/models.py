@@ -82,7 +82,7 @@ def accuracy(pred: DataFrame, prediction: str = "prediction", label: str = "labe
     """One row: accuracy = matching rows / all rows."""
     hit = (F.col(prediction) == F.col(label)).cast("bigint")
     return pred.agg(F.sum(hit).alias("n_correct"), F.count(F.lit(1)).alias("n_test")) \
-        .select((F.col("n_correct") / F.col("n_test")).alias("accuracy"), "n_correct", "n_test")
+        .select(F.try_divide(F.col("n_correct"), F.col("n_test")).alias("accuracy"), "n_correct", "n_test")
 
 
 def area_under_roc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:

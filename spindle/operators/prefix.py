@@ -52,5 +52,5 @@ def auc_rank_sum(scored: DataFrame, score: str = "score", label: str = "label",
     cum = global_cumsum(per, "_s", ["neg"], blocks=blocks, inclusive=False, prefix="below_")
     return (cum.agg(F.sum(F.col("pos") * (F.col("below_neg") + F.col("neg") / 2.0)).alias("_u"),
                     F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-            .select((F.col("_u") / (F.col("n_pos") * F.col("n_neg"))).alias("auc"),
+            .select(F.try_divide(F.col("_u"), F.col("n_pos") * F.col("n_neg")).alias("auc"),  # null if one class is absent
                     F.col("n_pos").cast("bigint").alias("n_pos"), F.col("n_neg").cast("bigint").alias("n_neg")))

@@ -99,3 +99,12 @@ def test_svm_auc_close_to_sgd(spark):
     sc = spark.createDataFrame([(float(MV.fromML(r.features).dot(w)), r.label) for r in scored],
                                "score double, label double")
     assert abs(auc_rank_sum(sc).first().auc - ours) < 0.1
+
+
+def test_auc_and_accuracy_degenerate_inputs(spark):
+    one_class = spark.createDataFrame([(0.3, 1.0), (0.7, 1.0)], "score double, label double")
+    r = auc_rank_sum(one_class).first()
+    assert r.auc is None and r.n_pos == 2 and r.n_neg == 0
+    empty = spark.createDataFrame([], "prediction double, label double")
+    a = models.accuracy(empty).first()
+    assert a.accuracy is None and a.n_test == 0
