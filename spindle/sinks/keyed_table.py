@@ -19,8 +19,14 @@ class KeyedTable:
     def __init__(self, path: str, key: str, order: list[str], values: list[str]):
         self.path, self.key, self.order, self.values = path.rstrip("/"), key, list(order), list(values)
 
-    def write_batch(self, batch: DataFrame, batch_id: int) -> None:
+    def write_batch(self, batch: DataFrame, batch_id: int, extra_rejects: DataFrame | None = None) -> None:
+        """Upsert one micro-batch. Rows with a null key, and `extra_rejects`
+        (e.g. unparseable records), go to `rejects/batch_id=N` as strings."""
         bad = batch.filter(F.col(self.key).isNull())
+        bad = bad.select([F.col(c).cast("string").alias(c) for c in bad.columns])
+        if extra_rejects is not None:
+            extra = extra_rejects.select([F.col(c).cast("string").alias(c) for c in extra_rejects.columns])
+            bad = bad.unionByName(extra, allowMissingColumns=True)
         newest = latest_per_key(batch.filter(F.col(self.key).isNotNull()), self.key, self.order, self.values)
         (newest.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

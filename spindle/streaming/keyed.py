@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,15 +15,23 @@ from spindle.sources.kafka import kafka_value
 
 
 def tweets_from_records(records: DataFrame, schema: T.StructType = TWEET_SCHEMA) -> DataFrame:
-    """Kafka rows -> declared JSON fields (+ key, offset, timestamp)."""
-    return project_json(kafka_value(records), "value", schema,
-                        keep=["key", "topic", "partition", "offset", "timestamp"])
+    """Kafka rows -> declared JSON fields (+ key, offset, timestamp, and the
+    raw `value`). `parsed` is false when the value is not a JSON record of the
+    schema (every declared field null); such rows go to the reject table."""
+    out = project_json(kafka_value(records), "value", schema,
+                       keep=["key", "value", "topic", "partition", "offset", "timestamp"])
+    parsed = reduce(lambda a, b: a | b, [F.col(f.name).isNotNull() for f in schema.fields])
+    return out.withColumn("parsed", parsed)
 
 
 def upsert_batch_fn(table: KeyedTable, audit_path: str | None = None):
     """`foreachBatch` function: upsert the batch, and record its offset ranges."""
     def fn(batch: DataFrame, batch_id: int) -> None:
-        table.write_batch(batch, batch_id)
+        if "parsed" in batch.columns:
+            table.write_batch(batch.filter(F.col("parsed")).drop("parsed", "value"), batch_id,
+                              extra_rejects=batch.filter(~F.col("parsed")).drop("parsed"))
+        else:
+            table.write_batch(batch, batch_id)
         if audit_path:
             (offset_ranges(batch).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

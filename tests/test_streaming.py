@@ -207,3 +207,17 @@ def test_sliding_stream_pre_aggregated(spark, scratch):
     horizon = ev.agg(F.max("ts")).first()[0]
     closed = want.filter(F.col("window_end") <= F.lit(horizon) - F.expr("INTERVAL 10 MINUTES"))
     assert closed.exceptAll(got).count() == 0
+
+
+def test_unparseable_records_go_to_rejects(spark, scratch):
+    recs = spark.createDataFrame(
+        [("u1", '{"id_str":"1","created_at":"Mon","text":"hi"}', "t", 0, 1, None),
+         ("u2", "not json", "t", 0, 2, None),
+         (None, '{"id_str":"3","created_at":"Wed","text":"x"}', "t", 0, 3, None)],
+        "key string, value string, topic string, partition int, offset long, timestamp timestamp")
+    tweets = tweets_from_records(recs)
+    table = KeyedTable(os.path.join(scratch, "kt2"), "key", ["timestamp", "offset"], ["created_at"])
+    upsert_batch_fn(table)(tweets, 0)
+    assert [(r.key, r.created_at) for r in table.read(spark).collect()] == [("u1", "Mon")]
+    rej = spark.read.parquet(os.path.join(scratch, "kt2", "rejects"))
+    assert sorted(r.offset for r in rej.collect()) == ["2", "3"]
