@@ -76,10 +76,13 @@ def tfidf_example(sentences: DataFrame, buckets: int = 20) -> DataFrame:
 
 def word_count_stream(lines: DataFrame, name: str = "word_count", sort: bool = True,
                       trigger: dict | None = None, sink: str = "console",
-                      checkpoint_location: str | None = None, foreach_batch=None):
-    """Running count of every word; complete mode re-emits all words each batch."""
-    counts = running_word_counts(lines, sort=sort)
-    return start(counts, name, "complete", sink=sink, trigger=trigger or {"processingTime": "10 seconds"},
+                      checkpoint_location: str | None = None, foreach_batch=None, mode: str = "complete"):
+    """Running count of every word. `complete` re-emits all words each batch
+    (sorted by count, like the original per-batch dump); `update` emits only
+    the words a batch touched - same totals, output proportional to the batch,
+    the choice for an unbounded vocabulary."""
+    counts = running_word_counts(lines, sort=sort and mode == "complete")
+    return start(counts, name, mode, sink=sink, trigger=trigger or {"processingTime": "10 seconds"},
                  checkpoint_location=checkpoint_location, foreach_batch=foreach_batch)
 
 

@@ -86,3 +86,15 @@ def test_command_line_sentiment(spark, scratch, capsys):
     main(["sentiment", "--train", train, "--test", test, "--iterations", "5"])
     out = _json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert 0 <= out["auc"]["auc"] <= 1 and out["accuracy"]["n_test"] == 87
+
+
+def test_word_count_stream_update_mode(spark, scratch):
+    src = os.path.join(scratch, "w")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write("to be or  not to be\n")
+    q = jobs.word_count_stream(spark.readStream.text(src), "wc_upd", sink="memory", mode="update",
+                               trigger={"availableNow": True}, checkpoint_location=os.path.join(scratch, "ck"))
+    q.awaitTermination(120)
+    assert {r.word: r.n for r in spark.sql("select * from wc_upd").collect()} == \
+        {"to": 2, "be": 2, "or": 1, "": 1, "not": 1}
