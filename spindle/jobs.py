@@ -7,6 +7,7 @@ programs did, so a user of those programs can run the same job here:
                          Naive Bayes (accuracy); separate train/test files, or
                          one file split 60/40.
 * `tfidf_example`      - sentences -> hashed TF-IDF vectors.
+* `score_stream`       - new sentences (a stream) -> SVM margin and label.
 * `word_count_stream`  - text lines -> running word count, sorted by count.
 * `sensor_stream`      - `uuid,heart_rate,calorie` lines -> running totals and
                          averages with the reset rule (`track_count=False` for
@@ -86,6 +87,19 @@ def word_count_stream(lines: DataFrame, name: str = "word_count", sort: bool = T
                  checkpoint_location=checkpoint_location, foreach_batch=foreach_batch)
 
 
+def score_stream(lines: DataFrame, model, name: str = "scores", line: str = "value",
+                 trigger: dict | None = None, sink: str = "console", checkpoint_location: str | None = None,
+                 foreach_batch=None):
+    """Score each new sentence of a stream with a fitted TF-IDF + SVM
+    `PipelineModel`: raw margin and predicted label per line (stateless)."""
+    from pyspark.ml.functions import vector_to_array
+    sentences = lines.select(F.col(line).alias("sentence"))
+    scored = model.transform(sentences).select(
+        "sentence", vector_to_array("rawPrediction")[1].alias("score"), "prediction")
+    return start(scored, name, "append", sink=sink, trigger=trigger or {"processingTime": "1 second"},
+                 checkpoint_location=checkpoint_location, foreach_batch=foreach_batch)
+
+
 def parse_sensor_lines(lines: DataFrame, line: str = "value", with_rejects: bool = False):
     """`uuid,heart_rate,calorie` lines -> readings; lines with a bad UUID or
     number are rejected (kept apart, not dropped silently)."""

@@ -98,3 +98,23 @@ def test_word_count_stream_update_mode(spark, scratch):
     q.awaitTermination(120)
     assert {r.word: r.n for r in spark.sql("select * from wc_upd").collect()} == \
         {"to": 2, "be": 2, "or": 1, "": 1, "not": 1}
+
+
+def test_score_stream_matches_batch_scoring(spark, scratch):
+    from spindle.operators import models
+    from spindle.operators.setops import hash_split
+    lab = derived.labelled_docs(spark, SF001)
+    train, test = hash_split(lab, "doc_id", 0.6)
+    model = models.fit(models.svm_pipeline(max_iter=5), train)
+    src = os.path.join(scratch, "new")
+    os.makedirs(src)
+    texts = ["a joy to watch", "so sad today", "great film"]
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write("\n".join(texts) + "\n")
+    q = jobs.score_stream(spark.readStream.text(src), model, "scored_t", sink="memory",
+                          trigger={"availableNow": True}, checkpoint_location=os.path.join(scratch, "ck"))
+    q.awaitTermination(120)
+    got = {r.sentence: round(r.score, 9) for r in spark.sql("select * from scored_t").collect()}
+    batch = models.svm_scores(model, spark.createDataFrame([(t, 0.0) for t in texts], "sentence string, label double"),
+                              keep=["sentence"])
+    assert got == {r.sentence: round(r.score, 9) for r in batch.collect()}
