@@ -4,9 +4,11 @@ The master, memory and checkpoint folder come from spark-submit / spark
 defaults; nothing here sets them.
 
   sentiment   --train PATH [--test PATH] [--train-layout b] [--test-layout a] [--buckets 65]
-  word-count  --input DIR [--socket HOST:PORT] [--interval "10 seconds"]
-  sensor      --input DIR [--socket HOST:PORT] [--totals-only] [--interval "5 seconds"]
+  word-count  --input DIR [--socket HOST:PORT] [--interval "10 seconds"] [--seconds N]
+  sensor      --input DIR [--socket HOST:PORT] [--totals-only] [--interval "5 seconds"] [--seconds N]
   tweets      --bootstrap HOSTS --topics a,b --table PATH [--audit PATH] [--interval "10 seconds"]
+              [--security-protocol SASL_PLAINTEXT --kerberos-service-name kafka] [--group-id G]
+              [--min-partitions N] [--seconds N]
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import SparkSession
 from spindle import jobs
 from spindle.sources.kafka import kafka_options, read_kafka
 from spindle.sources.socket import file_lines, socket_lines
+from spindle.streaming.control import stop_gracefully
 
 
 def _lines(spark, args):
@@ -43,6 +46,7 @@ def main(argv=None) -> None:
         w.add_argument("--input")
         w.add_argument("--socket")
         w.add_argument("--interval", default="10 seconds" if name == "word-count" else "5 seconds")
+        w.add_argument("--seconds", type=float, help="bounded run: stop gracefully after this long")
         if name == "sensor":
             w.add_argument("--totals-only", action="store_true")
     t = sub.add_parser("tweets")
@@ -51,6 +55,11 @@ def main(argv=None) -> None:
     t.add_argument("--table", required=True)
     t.add_argument("--audit")
     t.add_argument("--interval", default="10 seconds")
+    t.add_argument("--seconds", type=float, help="bounded run: stop gracefully after this long")
+    t.add_argument("--security-protocol")
+    t.add_argument("--kerberos-service-name")
+    t.add_argument("--group-id")
+    t.add_argument("--min-partitions", type=int)
     args = p.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"spindle-{args.job}").getOrCreate()
@@ -65,9 +74,16 @@ def main(argv=None) -> None:
     elif args.job == "sensor":
         q = jobs.sensor_stream(_lines(spark, args), track_count=not args.totals_only, trigger=trigger)
     else:
-        records = read_kafka(spark, kafka_options(args.bootstrap, args.topics))
+        records = read_kafka(spark, kafka_options(
+            args.bootstrap, args.topics, security_protocol=args.security_protocol,
+            kerberos_service_name=args.kerberos_service_name, group_id=args.group_id,
+            min_partitions=args.min_partitions))
         q = jobs.tweets_to_table(records, args.table, args.audit, trigger=trigger)
-    q.awaitTermination()
+    if args.seconds:
+        q.awaitTermination(args.seconds)
+        stop_gracefully(q, drain=False)
+    else:
+        q.awaitTermination()
 
 
 if __name__ == "__main__":

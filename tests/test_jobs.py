@@ -118,3 +118,13 @@ def test_score_stream_matches_batch_scoring(spark, scratch):
     batch = models.svm_scores(model, spark.createDataFrame([(t, 0.0) for t in texts], "sentence string, label double"),
                               keep=["sentence"])
     assert got == {r.sentence: round(r.score, 9) for r in batch.collect()}
+
+
+def test_command_line_bounded_sensor_run(spark, scratch):
+    from spindle.__main__ import main
+    src = os.path.join(scratch, "cl_sensor")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write("11111111-1111-1111-1111-111111111111,70,2\n")
+    main(["sensor", "--input", src, "--interval", "1 second", "--seconds", "5"])
+    assert not [q for q in spark.streams.active if q.name == "sensor"]
