@@ -108,3 +108,15 @@ def test_auc_and_accuracy_degenerate_inputs(spark):
     empty = spark.createDataFrame([], "prediction double, label double")
     a = models.accuracy(empty).first()
     assert a.accuracy is None and a.n_test == 0
+
+
+def test_hashing_tf_buckets_match_index_of(spark):
+    df = spark.createDataFrame(F1, "label double, sentence string")
+    pm = feat.hashed_tfidf(df, 20)
+    for r in pm.transform(df).collect():
+        want = {}
+        for t in r.words:
+            j = feat.term_bucket(t, 20)
+            want[j] = want.get(j, 0) + 1
+        raw = r.rawFeatures
+        assert {int(i): float(v) for i, v in zip(raw.indices, raw.values)} == {k: float(v) for k, v in want.items()}
