@@ -47,6 +47,7 @@ def main(argv=None) -> None:
         w.add_argument("--socket")
         w.add_argument("--interval", default="10 seconds" if name == "word-count" else "5 seconds")
         w.add_argument("--seconds", type=float, help="bounded run: stop gracefully after this long")
+        w.add_argument("--checkpoint", help="checkpoint folder (default: under spark.checkpoint.dir)")
         if name == "sensor":
             w.add_argument("--totals-only", action="store_true")
     t = sub.add_parser("tweets")
@@ -56,6 +57,7 @@ def main(argv=None) -> None:
     t.add_argument("--audit")
     t.add_argument("--interval", default="10 seconds")
     t.add_argument("--seconds", type=float, help="bounded run: stop gracefully after this long")
+    t.add_argument("--checkpoint", help="checkpoint folder (default: under spark.checkpoint.dir)")
     t.add_argument("--security-protocol")
     t.add_argument("--kerberos-service-name")
     t.add_argument("--group-id")
@@ -70,15 +72,17 @@ def main(argv=None) -> None:
         return
     trigger = {"processingTime": args.interval}
     if args.job == "word-count":
-        q = jobs.word_count_stream(_lines(spark, args), trigger=trigger)
+        q = jobs.word_count_stream(_lines(spark, args), trigger=trigger, checkpoint_location=args.checkpoint)
     elif args.job == "sensor":
-        q = jobs.sensor_stream(_lines(spark, args), track_count=not args.totals_only, trigger=trigger)
+        q = jobs.sensor_stream(_lines(spark, args), track_count=not args.totals_only, trigger=trigger,
+                               checkpoint_location=args.checkpoint)
     else:
         records = read_kafka(spark, kafka_options(
             args.bootstrap, args.topics, security_protocol=args.security_protocol,
             kerberos_service_name=args.kerberos_service_name, group_id=args.group_id,
             min_partitions=args.min_partitions))
-        q = jobs.tweets_to_table(records, args.table, args.audit, trigger=trigger)
+        q = jobs.tweets_to_table(records, args.table, args.audit, trigger=trigger,
+                                 checkpoint_location=args.checkpoint)
     if args.seconds:
         q.awaitTermination(args.seconds)
         stop_gracefully(q, drain=False)

@@ -126,5 +126,6 @@ def test_command_line_bounded_sensor_run(spark, scratch):
     os.makedirs(src)
     with open(os.path.join(src, "a.txt"), "w") as f:
         f.write("11111111-1111-1111-1111-111111111111,70,2\n")
-    main(["sensor", "--input", src, "--interval", "1 second", "--seconds", "5"])
+    main(["sensor", "--input", src, "--interval", "1 second", "--seconds", "5",
+          "--checkpoint", os.path.join(scratch, "cl_ck")])
     assert not [q for q in spark.streams.active if q.name == "sensor"]
