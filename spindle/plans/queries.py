@@ -24,6 +24,7 @@ from spindle.operators.naive_bayes import nb_exact
 from spindle.operators.offsets import offset_ranges
 from spindle.operators.prefix import auc_rank_sum
 from spindle.operators.running import running_totals, state_as_of
+from spindle.operators.sessions import marker_sessions
 from spindle.operators.setops import hash_split, sample_fraction, subtract_keep_duplicates, union_all
 from spindle.operators.sliding import sliding_counts
 from spindle.operators.upsert import latest_per_key, to_cells
@@ -114,19 +115,8 @@ def track_running_totals(spark: SparkSession, d: str) -> DataFrame:
 def session_marker_totals(spark: SparkSession, d: str) -> DataFrame:
     """Row-level end-of-session rule: a marker closes the session it ends
     (state cleared); sessions are numbered per key by markers seen before."""
-    r = derived.sensor_readings(spark, d).withColumn("m", F.col("is_marker").cast("bigint"))
-    seen = running_totals(r, "session_id", ["ts", "event_id"], ["m"], prefix="cum_",
-                          chunk=bucket_start("ts", derived.ROW_CHUNK))
-    seen = seen.withColumn("session_no", F.col("cum_m") - F.col("m"))
-    reading = ~F.col("is_marker")
-    agg = seen.groupBy("session_id", "session_no").agg(
-        F.sum(F.when(reading, 1).otherwise(0)).cast("bigint").alias("n"),
-        F.sum(F.when(reading, F.col("heart_rate")).otherwise(0)).cast("bigint").alias("total_hr"),
-        F.sum(F.when(reading, F.col("calorie")).otherwise(0)).cast("bigint").alias("total_cal"),
-        F.max("is_marker").alias("closed"))
-    return agg.select("session_id", "session_no", "n", "total_hr", "total_cal",
-                      int_div("total_hr", "n").alias("avg_hr"), int_div("total_cal", "n").alias("avg_cal"),
-                      "closed")
+    return marker_sessions(derived.sensor_readings(spark, d), "session_id", ["ts", "event_id"],
+                           chunk=bucket_start("ts", derived.ROW_CHUNK))
 
 
 def sliding_count(spark: SparkSession, d: str) -> DataFrame:

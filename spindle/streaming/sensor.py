@@ -76,3 +76,58 @@ def sensor_state_stream(readings: DataFrame, track_count: bool = True, on_reset:
             .applyInPandasWithState(_state_fn(track_count, on_reset, idle_timeout_ms), out, state, "update",
                                     GroupStateTimeout.ProcessingTimeTimeout if idle_timeout_ms is not None
                                     else GroupStateTimeout.NoTimeout))
+
+
+def _marker_fn(order: list[str]):
+    def update(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(chunks), ignore_index=True)
+        if pdf.empty:
+            return
+        pdf = pdf.sort_values(order, kind="mergesort")
+        sno, th, tc, tn = state.get if state.exists else (0, 0, 0, 0)
+        marker = pdf["is_marker"].astype(bool).to_numpy()
+        m = marker.astype("int64")
+        pdf["session_no"] = sno + (m.cumsum() - m)          # markers strictly before the row
+        reading = ~marker
+        pdf["_r"] = reading.astype("int64")
+        pdf["_h"] = pdf["heart_rate"].where(reading, 0).astype("int64")
+        pdf["_c"] = pdf["calorie"].where(reading, 0).astype("int64")
+        g = pdf.groupby("session_no").agg(n=("_r", "sum"), hr=("_h", "sum"), cal=("_c", "sum"),
+                                          closed=("is_marker", "any"))
+        if sno in g.index:                                  # the open session continues
+            g.loc[sno, "n"] += tn
+            g.loc[sno, "hr"] += th
+            g.loc[sno, "cal"] += tc
+        last = sno + int(m.sum())
+        if last in g.index and not bool(g.loc[last, "closed"]):
+            state.update((last, int(g.loc[last, "hr"]), int(g.loc[last, "cal"]), int(g.loc[last, "n"])))
+        else:                                               # ended on a marker: a new, empty session
+            state.update((last, 0, 0, 0))
+        yield pd.DataFrame({
+            "session_id": [key[0]] * len(g),
+            "session_no": g.index.astype("int64"),
+            "n": g["n"].astype("int64"), "total_hr": g["hr"].astype("int64"),
+            "total_cal": g["cal"].astype("int64"),
+            "avg_hr": [_tdiv(int(h), int(n)) for h, n in zip(g["hr"], g["n"])],
+            "avg_cal": [_tdiv(int(c), int(n)) for c, n in zip(g["cal"], g["n"])],
+            "closed": g["closed"].astype(bool),
+        })
+    return update
+
+
+def marker_session_stream(readings: DataFrame, key: str = "session_id",
+                          order: list[str] | None = None) -> DataFrame:
+    """Row-level end-of-session rule on a stream: within each micro-batch a
+    session's rows are taken in event-time order, every marker row closes the
+    current session, and the totals of each session the batch touched are
+    emitted (the last emission of a session is its final total). Unlike the
+    batch-sum form this sorts a key's rows of one micro-batch, so that much
+    is held in memory per key; micro-batch size bounds it."""
+    order = order or ["ts", "event_id"]
+    key_type = readings.schema[key].dataType.simpleString()
+    out = (f"session_id {key_type}, session_no bigint, n bigint, total_hr bigint, total_cal bigint, "
+           "avg_hr bigint, avg_cal bigint, closed boolean")
+    state = "session_no bigint, hr bigint, cal bigint, n bigint"
+    return (readings.select(key, *order, "heart_rate", "calorie", "is_marker")
+            .groupBy(key)
+            .applyInPandasWithState(_marker_fn(order), out, state, "update", GroupStateTimeout.NoTimeout))

@@ -221,3 +221,25 @@ def test_unparseable_records_go_to_rejects(spark, scratch):
     assert [(r.key, r.created_at) for r in table.read(spark).collect()] == [("u1", "Mon")]
     rej = spark.read.parquet(os.path.join(scratch, "kt2", "rejects"))
     assert sorted(r.offset for r in rej.collect()) == ["2", "3"]
+
+
+def test_marker_session_stream_equals_batch(spark, scratch):
+    from spindle.operators.sessions import marker_sessions
+    from spindle.streaming.sensor import marker_session_stream
+    readings = derived.sensor_readings(spark, SF001).select(
+        "session_id", "batch", "ts", "event_id", "heart_rate", "calorie", "is_marker")
+    batches = _write_batches(readings, scratch, "batch", 30)
+    src = _stage_files(scratch)
+    schema = "session_id bigint, ts timestamp_ntz, event_id bigint, heart_rate int, calorie int, is_marker boolean"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = start(marker_session_stream(stream), "marker_t", "update", trigger={"availableNow": True},
+              checkpoint_location=os.path.join(scratch, "ckpt-marker"))
+    q.awaitTermination(300)
+    emitted = spark.sql("select * from marker_t")
+    cols = ["n", "total_hr", "total_cal", "avg_hr", "avg_cal"]
+    final = (emitted.groupBy("session_id", "session_no")
+             .agg(F.max(F.struct("closed", *cols)).alias("s"))
+             .select("session_id", "session_no", *[F.col(f"s.{c}").alias(c) for c in cols], "s.closed"))
+    want = marker_sessions(readings.filter(F.col("batch") <= F.lit(batches[-1])))
+    assert sorted(tuple(r) for r in final.collect()) == \
+        sorted(tuple(r) for r in want.select(*final.columns).collect())
