@@ -96,3 +96,11 @@ def test_console_sink_prints_batches(spark, scratch, capfd):
               sink="console", trigger={"availableNow": True}, checkpoint_location=os.path.join(scratch, "ck"))
     q.awaitTermination(120)
     assert q.lastProgress["numInputRows"] == 1
+
+
+def test_contiguous_offset_ranges(spark):
+    recs = spark.createDataFrame([("t", 0, 5, 1), ("t", 0, 9, 1), ("t", 0, 12, 2), ("t", 0, 20, 3)],
+                                 "topic string, partition int, offset long, batch int")
+    got = [(r.batch, r.from_offset, r.until_offset) for r in
+           offset_ranges(recs, by=["batch"], contiguous=True).orderBy("batch").collect()]
+    assert got == [(1, 5, 10), (2, 10, 13), (3, 13, 21)]
