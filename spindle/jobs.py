@@ -122,9 +122,12 @@ def sensor_stream(lines: DataFrame, name: str = "sensor", track_count: bool = Tr
 
 def tweets_to_table(records: DataFrame, table_path: str, audit_path: str | None = None,
                     name: str = "tweets_to_table", trigger: dict | None = None,
-                    checkpoint_location: str | None = None):
-    """Kafka records (stream) -> newest `created_at` per key in a keyed table."""
-    table = KeyedTable(table_path, "key", ["timestamp", "offset"], ["id_str", "created_at", "text"])
+                    checkpoint_location: str | None = None, key: str = "key"):
+    """Kafka records (stream) -> newest value per key in a keyed table.
+    `key`: "key" (the record key) or "id_str" (the tweet id, as the original
+    job keyed its rows)."""
+    values = [c for c in ["key", "id_str", "created_at", "text"] if c != key]
+    table = KeyedTable(table_path, key, ["timestamp", "offset"], values)
     tweets = tweets_from_records(records)
     return start(tweets, name, "append", trigger=trigger or {"processingTime": "10 seconds"},
                  checkpoint_location=checkpoint_location, foreach_batch=upsert_batch_fn(table, audit_path))

@@ -129,3 +129,16 @@ def test_command_line_bounded_sensor_run(spark, scratch):
     main(["sensor", "--input", src, "--interval", "1 second", "--seconds", "5",
           "--checkpoint", os.path.join(scratch, "cl_ck")])
     assert not [q for q in spark.streams.active if q.name == "sensor"]
+
+
+def test_tweets_to_table_keyed_by_tweet_id(spark, scratch):
+    recs = derived.kafka_records(spark, SF001)
+    src = os.path.join(scratch, "recs2")
+    recs.write.parquet(src)
+    stream = spark.readStream.schema(recs.schema).parquet(src)
+    table_path = os.path.join(scratch, "table2")
+    q = jobs.tweets_to_table(stream, table_path, trigger={"availableNow": True},
+                             checkpoint_location=os.path.join(scratch, "ck2"), key="id_str")
+    q.awaitTermination(300)
+    table = KeyedTable(table_path, "id_str", ["timestamp", "offset"], ["key", "created_at", "text"])
+    assert table.read(spark).count() == recs.count()   # one row per tweet
