@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from spindle.llm.mix import OP9_SQL, op9_mix
+from spindle.llm.quality import OP6_SQL, op6_quality
 
 QUERIES = {
+    "op6_quality": op6_quality,
     "op9_mix": op9_mix,
 }
 
 ORACLE_SQL = {
+    "op6_quality": OP6_SQL,
     "op9_mix": OP9_SQL,
 }
