@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from spindle.llm.decontaminate import OP2_SQL, op2_decontaminate
 from spindle.llm.mix import OP9_SQL, op9_mix
+from spindle.llm.neardup import OP3_SQL, op3_neardup
 from spindle.llm.quality import OP6_SQL, op6_quality
 from spindle.llm.secrets import OP8_SQL, op8_secrets
 from spindle.llm.urls import OP7_SQL, op7_urls
 
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
+    "op3_neardup": op3_neardup,
     "op6_quality": op6_quality,
     "op7_urls": op7_urls,
     "op8_secrets": op8_secrets,
@@ -18,6 +20,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op2_decontaminate": OP2_SQL,
+    "op3_neardup": OP3_SQL,
     "op6_quality": OP6_SQL,
     "op7_urls": OP7_SQL,
     "op8_secrets": OP8_SQL,
