@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from spindle.llm.chunks import op10_chunks
 from spindle.llm.decontaminate import OP2_SQL, op2_decontaminate
 from spindle.llm.mix import OP9_SQL, op9_mix
 from spindle.llm.neardup import OP3_SQL, op3_neardup
@@ -18,6 +19,7 @@ QUERIES = {
     "op7_urls": op7_urls,
     "op8_secrets": op8_secrets,
     "op9_mix": op9_mix,
+    "op10_chunks": op10_chunks,
 }
 
 ORACLE_SQL = {
