@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from spindle.llm.chunks import op10_chunks
 from spindle.llm.decontaminate import OP2_SQL, op2_decontaminate
+from spindle.llm.html import op5_html
 from spindle.llm.mix import OP9_SQL, op9_mix
 from spindle.llm.neardup import OP3_SQL, op3_neardup
 from spindle.llm.quality import OP6_SQL, op6_quality
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_suffixes": op1_suffixes,
     "op2_decontaminate": op2_decontaminate,
     "op3_neardup": op3_neardup,
+    "op5_html": op5_html,
     "op6_quality": op6_quality,
     "op7_urls": op7_urls,
     "op8_secrets": op8_secrets,
