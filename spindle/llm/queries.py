@@ -10,12 +10,14 @@ from spindle.llm.neardup import OP3_SQL, op3_neardup
 from spindle.llm.quality import OP6_SQL, op6_quality
 from spindle.llm.secrets import OP8_SQL, op8_secrets
 from spindle.llm.suffixes import op1_suffixes
+from spindle.llm.toxicity import op4_toxicity
 from spindle.llm.urls import OP7_SQL, op7_urls
 
 QUERIES = {
     "op1_suffixes": op1_suffixes,
     "op2_decontaminate": op2_decontaminate,
     "op3_neardup": op3_neardup,
+    "op4_toxicity": op4_toxicity,
     "op5_html": op5_html,
     "op6_quality": op6_quality,
     "op7_urls": op7_urls,
