@@ -292,7 +292,8 @@ def near_groups(docs: DataFrame, key: str = "doc_id", width: int = 3, percent: i
                     ["root", "blocks", "node", "members"])
 
     wanted = members.select(F.col("first").alias("__first"), "s1", "s2", "root", "blocks", "node")
-    texts = docs.join(wanted, docs[key].eqNullSafe(wanted["__first"])).select("root", "blocks", "node", "s1", "s2", "text")
+    # Always by a shuffle: a broadcast of few members would give small inputs another plan than large ones.
+    texts = docs.join(wanted.hint("merge"), docs[key].eqNullSafe(wanted["__first"])).select("root", "blocks", "node", "s1", "s2", "text")
     sets = texts.mapInArrow(fetch, "root long, blocks int, node long, members binary") \
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
     pieces = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
