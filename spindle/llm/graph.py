@@ -17,7 +17,14 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     changed rows reaches the driver. Labels are written each round, so a hub's
     edges meet them in a join of two exchanges, which adaptive execution may
     split, and lost executors cost one round at most."""
-    both = stage(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-edges")
+    # Small star: a node keeps an edge to its smallest neighbour, and its other smaller neighbours
+    # get one to that too. The nodes stay connected, and most edges of shared hubs fall together.
+    down = edges.select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).where("low < high").distinct()
+    down = stage(down, f"{name}-down")
+    least = stage(down.groupBy("high").agg(F.min("low").alias("least")), f"{name}-least")
+    across = down.join(least, "high").where("low != least").select(F.col("low").alias("a"), F.col("least").alias("b"))
+    kept = least.select(F.col("high").alias("a"), F.col("least").alias("b")).unionAll(across)
+    both = stage(kept.unionAll(kept.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-edges")
     labels = stage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root")), f"{name}-labels")
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")) \
