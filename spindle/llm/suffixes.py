@@ -182,7 +182,9 @@ class SuffixFamily:
                 place = batch.column("h").to_numpy() % bits
                 yield batch.filter(pa.array(((table_.value[place >> 6] >> (place & 63)) & 1).astype(bool)))
 
-        near = entries.mapInArrow(thin, ENTRY).join(shared, "h")
+        # Written before it is summed: the sum then has an exchange of its own, and the
+        # join on h, which a common passage makes hot, may be split by adaptive execution.
+        near = stage(entries.mapInArrow(thin, ENTRY).join(shared, "h"), "suffix-near")
         return near.groupBy("h", "d", "q", "place").agg(F.count(F.lit(1)).alias("copies"))
 
 
