@@ -10,8 +10,8 @@ comes from the host graph of their links:
   rejects, so hosts that link to blocked ones gather it.
 
 Each is divided by the rank that seeding every page would give on the same
-graph, so both are shares in [0, 1] of the mass that reaches a host and do not
-depend on its size. A host is blocked if its distrust share reaches `threshold`
+graph, so both are shares in [0, 1] of the mass that reaches a host, whatever its
+size. A host is blocked if its distrust share reaches `threshold`
 and exceeds its trust share. A fixed number of power iterations runs as joins
 and sums over (host, host) edges; each result is a written table, so lineage
 stays short and a hub's edges can be split by adaptive execution.
