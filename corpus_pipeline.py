@@ -14,10 +14,13 @@ empty table gives an empty result at every stage.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindle.llm.common import stage, table
+from spindle.llm.common import recording, release, stage, table
 from spindle.llm.decontaminate import decontaminate
 from spindle.llm.mix import mix
 from spindle.llm.neardup import keep_one
@@ -41,6 +44,26 @@ def _named(result: DataFrame, docs: DataFrame, text: str = "text") -> list:
     return [(new[c] if c in new else F.col(p)).alias(c) for c, p in zip(docs.columns, _plain(docs).columns)]
 
 
+_working: list[str] = []
+
+
+def _pipeline_stage(function: Callable) -> Callable:
+    """A stage is called when the one before it has been written, so the working
+    tables of that one are deleted. The first stage starts anew and deletes
+    nothing, nor does anything delete those of a last one."""
+
+    @wraps(function)
+    def call(spark: SparkSession, docs: DataFrame, data_dir: str) -> DataFrame:
+        if function.__name__ == STAGES[0][1].__name__:
+            _working.clear()
+        release(spark, _working)
+        with recording(_working):
+            return function(spark, docs, data_dir)
+
+    return call
+
+
+@_pipeline_stage
 def quality_stage(spark: SparkSession, docs: DataFrame, data_dir: str) -> DataFrame:
     """Rejected documents go; failing lines go from the others. The verdicts are
     written first: a filter right above them would be pushed into the rules and
@@ -50,12 +73,14 @@ def quality_stage(spark: SparkSession, docs: DataFrame, data_dir: str) -> DataFr
     return judged.where("__kept").drop("__kept")
 
 
+@_pipeline_stage
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, data_dir: str) -> DataFrame:
     """One document of each group stays (five-word shingles, similarity 0.8 or more)."""
     kept = keep_one(_plain(docs), width=5, percent=80)
     return kept.select(*_named(kept, docs))
 
 
+@_pipeline_stage
 def decontamination_stage(spark: SparkSession, docs: DataFrame, data_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
     items = table(spark, data_dir, "benchmark", "item_id", "text")
@@ -63,12 +88,14 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, data_dir: str) -
     return found.select(*_named(found, docs))
 
 
+@_pipeline_stage
 def secrets_stage(spark: SparkSession, docs: DataFrame, data_dir: str) -> DataFrame:
     """Reported secrets are masked in the text."""
     masked = redact(_plain(docs))
     return masked.select(*_named(masked, docs))
 
 
+@_pipeline_stage
 def mixing_stage(spark: SparkSession, docs: DataFrame, data_dir: str) -> DataFrame:
     """The documents that the mix takes, and how many of their words."""
     return mix(docs).where("taken > 0")

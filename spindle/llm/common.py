@@ -8,6 +8,8 @@ executor never changes them. Nothing here collects data to the driver.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,28 @@ def table(spark: SparkSession, data_dir: str, name: str, *columns: str) -> DataF
     return df.select(*columns) if columns else df
 
 
+_recorders: list[list[str]] = []
+
+
+@contextmanager
+def recording(paths: list[str]) -> Iterator[None]:
+    """Collect the paths of the tables that `stage` writes meanwhile."""
+    _recorders.append(paths)
+    try:
+        yield
+    finally:
+        _recorders.remove(paths)
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete written tables that no later read needs, and forget them."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(hadoop).delete(at, True)
+    paths.clear()
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as Parquet under the shared checkpoint folder and read it back.
 
@@ -34,6 +58,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex[:12]}-{name}"
+    for paths in _recorders:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
