@@ -62,6 +62,13 @@ def from_bytes(c) -> Column:
 
 
 def bucket_start(c, seconds: int) -> Column:
-    """Start of the fixed, epoch-aligned bucket of `seconds` holding `c`. Keeps
-    the input's timestamp type (zone-free stays zone-free), unlike date_trunc."""
-    return F.window(_col(c), f"{int(seconds)} seconds").start
+    """Start of the fixed bucket of `seconds` that holds `c`, aligned to 1970 on
+    the clock that the value shows. Keeps the timestamp type (zone-free stays
+    zone-free, unlike date_trunc) and keeps nulls (unlike `window`, which drops
+    their rows)."""
+    c = _col(c)
+    days = F.date_diff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long")
+    whole = days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
+    into = F.pmod(whole, F.lit(int(seconds))) + F.extract(F.lit("SECOND"), c)
+    zero = F.lit(0)
+    return c - F.make_dt_interval(zero, zero, zero, F.pmod(into, F.lit(int(seconds)).cast("decimal(18,6)")))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 # Fixed value: the character class Java's `\s` stands for (ASCII whitespace).
 WHITESPACE_CLASS = "[ \\t\\n\\x0B\\f\\r]"
+WHITESPACE = " \t\n\x0b\f\r"
 
 # Fixed value: line breaks recognised by Hadoop's line reader.
 LINE_BREAK = "\\r\\n|\\r|\\n"
@@ -33,14 +34,21 @@ def java_split(c, delimiter: str = " ", regex: bool = False) -> Column:
     """Split like Java's `String.split(delimiter)` (limit 0).
 
     `delimiter` is a literal unless `regex=True`; a regex delimiter must match
-    single characters (a character class), which is all the jobs use.
+    single characters (a character class), which is all the jobs use. Trailing
+    empty pieces are cut by trimming the delimiter characters where it is one
+    character (or the white-space class), else by position in the piece list;
+    both take time linear in the text, whatever runs of delimiters it holds.
     """
     c = _col(c)
+    none = F.lit(None).cast("array<string>")
     pattern = delimiter if regex else re.escape(delimiter)
-    stripped = F.regexp_replace(c, f"(?:{pattern})+\\z", "")
-    return (F.when(c.isNull(), F.lit(None).cast("array<string>"))
-            .when((c != "") & (stripped == ""), _empty())
-            .otherwise(F.split(stripped, pattern)))
+    ends = WHITESPACE if regex and delimiter == WHITESPACE_CLASS else delimiter if not regex and len(delimiter) == 1 else None
+    if ends is not None:
+        stripped = F.rtrim(c, F.lit(ends))
+        return F.when(c.isNull(), none).when((c != "") & (stripped == ""), _empty()).otherwise(F.split(stripped, pattern))
+    pieces = F.split(c, pattern)
+    filled = F.array_max(F.transform(pieces, lambda p, i: F.when(p != "", i + 1).otherwise(0)))
+    return F.when(c.isNull(), none).when(c == "", F.array(F.lit(""))).otherwise(F.slice(pieces, F.lit(1), filled))
 
 
 def lines_of(c) -> Column:

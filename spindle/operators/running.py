@@ -20,6 +20,8 @@ Values are integers here, so the subtraction is exact.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,11 +87,14 @@ def running_totals(df: DataFrame, key: str | list[str], order: str | list[str],
         b = F.last(F.when(F.col("_has_reset") == 1, F.col(f"_ccum_{v}") - tail), ignorenulls=True).over(w2)
         summ = summ.withColumn(f"_run_{v}", F.col(f"_ccum_{v}") - F.coalesce(b, F.lit(0)))
     w2p = Window.partitionBy(*keys).orderBy("_chunk")
-    carry = summ.select(*keys, "_chunk",
+    at = {c: f"_at_{i}" for i, c in enumerate([*keys, "_chunk"])}
+    carry = summ.select(*[F.col(c).alias(a) for c, a in at.items()],
                         *[F.coalesce(F.lag(f"_run_{v}").over(w2p), F.lit(0)).alias(f"_carry_{v}")
                           for v in values])
 
-    out = loc.join(carry, on=[*keys, "_chunk"], how="inner")
+    # Null-safe: a null key or a null order is a group like any other.
+    same = [F.col(c).eqNullSafe(F.col(a)) for c, a in at.items()]
+    out = loc.join(carry, on=reduce(lambda x, y: x & y, same), how="inner").drop(*at.values())
     for v in values:
         out = out.withColumn(f"{prefix}{v}", F.col(f"_loc_{v}") +
                              F.when(F.col("_seen_reset") == 1, F.lit(0)).otherwise(F.col(f"_carry_{v}")))
@@ -99,12 +104,13 @@ def running_totals(df: DataFrame, key: str | list[str], order: str | list[str],
     return out.drop(*drop)
 
 
-def state_as_of(states: DataFrame, key: str | list[str], order: str, at) -> DataFrame:
+def state_as_of(states: DataFrame, key: str | list[str], order: str, at=None) -> DataFrame:
     """Every key's state as of step `at` (the full per-batch output of a state
-    stream): the latest row per key with order <= at. A max over a struct is a
+    stream), by default the last one: the latest row per key with order <= at. A max over a struct is a
     partial aggregate, so a hot key does not gather in one task."""
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in states.columns if c not in keys and c != order]
     latest = F.max(F.struct(F.col(order), *[F.col(c) for c in rest])).alias("_s")
-    return (states.filter(F.col(order) <= F.lit(at)).groupBy(*keys).agg(latest)
+    upto = states if at is None else states.filter(F.col(order) <= F.lit(at))
+    return (upto.groupBy(*keys).agg(latest)
             .select(*keys, F.col(f"_s.{order}").alias(order), *[F.col(f"_s.{c}").alias(c) for c in rest]))

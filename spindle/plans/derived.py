@@ -92,7 +92,7 @@ def sensor_readings(spark: SparkSession, d: str) -> DataFrame:
         F.col("user_id").alias("session_id"),
         "ts", "event_id",
         bucket_start("ts", SENSOR_BATCH).alias("batch"),
-        F.when(marker, F.lit(-1)).otherwise(F.col("value").cast("int")).alias("heart_rate"),
+        F.when(marker, F.lit(-1)).otherwise(F.col("value").try_cast("int")).alias("heart_rate"),
         F.when(marker, F.lit(-1)).otherwise(cal).alias("calorie"),
         marker.alias("is_marker"),
     )

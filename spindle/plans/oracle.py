@@ -1,7 +1,7 @@
 """DuckDB twins of the registered queries (same column names and types).
 
-The models (`hashing_tfidf`, `svm_*`, `nb_accuracy`, `score_new`) and the
-random `sample_60` have no SQL twin; they are checked by row count here and
+The models (`hashing_tfidf`, `svm_*`, `nb_accuracy`, `score_new`) have no SQL
+twin; they are checked by row count here and
 by tests against brute-force computations.
 """
 
@@ -180,6 +180,7 @@ SELECT doc_id, term, count(*) AS tf FROM toks GROUP BY doc_id, term""",
 SELECT tf.doc_id, tf.term, tf.tf, round(idf.idf, 6) AS idf, round(tf.tf * idf.idf, 6) AS tfidf
 FROM tf JOIN idf USING (term)""",
     "train_test_subtract": f"SELECT doc_id, label, sentence FROM ({_LABELLED}) WHERE NOT ({_SPLIT})",
+    "sample_60": f"SELECT doc_id, label FROM ({_LABELLED}) WHERE (((doc_id % 1000003) * 7919 + 29) % 1000003) % 100 < 60",
     "auc_by_rank": """
 WITH s AS (SELECT CAST(d.n_chars AS DOUBLE) AS score, l.quality AS label
            FROM documents d JOIN labels l USING (doc_id)),

@@ -25,7 +25,7 @@ from spindle.operators.offsets import offset_ranges
 from spindle.operators.prefix import auc_rank_sum
 from spindle.operators.running import running_totals, state_as_of
 from spindle.operators.sessions import marker_sessions
-from spindle.operators.setops import hash_split, sample_fraction, subtract_keep_duplicates, union_all
+from spindle.operators.setops import hash_bucket, hash_split, subtract_keep_duplicates, union_all
 from spindle.operators.sliding import sliding_counts
 from spindle.operators.upsert import latest_per_key, to_cells
 from spindle.operators.wordcount import line_words, sorted_counts, text_to_lines, top_words, word_counts
@@ -42,6 +42,7 @@ from spindle.sources.text import (one_class_text, parse_csv_layout_a, parse_csv_
 TOP_K = 10
 TRAIN_FRACTION = 0.6
 SPLIT_SEED = 11
+SAMPLE_SEED = 29
 SLIDE_SECONDS = 60
 WINDOW_SECONDS = 300
 LOOKUP_USER = "Customer#000000001"
@@ -99,9 +100,7 @@ def sensor_running_avg(spark: SparkSession, d: str) -> DataFrame:
 def sensor_state_snapshot(spark: SparkSession, d: str) -> DataFrame:
     """What the state stream prints at its last batch: every session's state
     as of that batch (untouched sessions keep their last state)."""
-    states = sensor_running_avg(spark, d)
-    last = read_table(spark, d, "events").agg(F.max(bucket_start("ts", derived.SENSOR_BATCH))).scalar()
-    return state_as_of(states, "session_id", "batch", last)
+    return state_as_of(sensor_running_avg(spark, d), "session_id", "batch")
 
 
 def track_running_totals(spark: SparkSession, d: str) -> DataFrame:
@@ -213,7 +212,9 @@ def train_test_subtract(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sample_60(spark: SparkSession, d: str) -> DataFrame:
-    return sample_fraction(derived.labelled_docs(spark, d), TRAIN_FRACTION, SPLIT_SEED).select("doc_id", "label")
+    """A 60 % sample by a hash of the id: the same rows on any cluster and plan."""
+    picked = hash_bucket("doc_id", SAMPLE_SEED) < int(TRAIN_FRACTION * 100)
+    return derived.labelled_docs(spark, d).where(picked).select("doc_id", "label")
 
 
 _MODELS: dict = {}

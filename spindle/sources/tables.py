@@ -10,30 +10,32 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+# Setting: into how many partitions scans that ask for it are spread; unset, they
+# keep the splits of the files.
+SPREAD_SETTING = "spark.spindle.scanPartitions"
+
+
 def read_table(spark: SparkSession, data_dir: str, name: str, columns: list[str] | None = None,
                spread_key: str | None = None) -> DataFrame:
-    """Scan a table. With `spread_key`, CPU-heavy row work downstream gets the
-    whole cluster even when the input has few splits (see `spread`)."""
+    """Scan a table. With `spread_key`, a scan ahead of CPU-heavy row work is
+    spread into as many partitions as SPREAD_SETTING says (see `spread`)."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     df = spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
     if columns:
         df = df.select(*columns)
-    return spread(df, spread_key) if spread_key else df
+    partitions = spark.conf.get(SPREAD_SETTING, None) if spread_key else None
+    return spread(df, spread_key, int(partitions)) if partitions else df
 
 
-def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
-    """Hash-repartition on `xxhash64(key)` only if the input has fewer
-    partitions than the cluster's parallelism (a file with one row group is
-    one task). A large input already has enough splits and is left as is, so
-    no shuffle is added where it would cost a full copy of the data.
+def spread(df: DataFrame, key: str, partitions: int) -> DataFrame:
+    """Hash-repartition on `xxhash64(key)` into `partitions`: for inputs with few
+    splits (a file with one row group is one task). It is asked for explicitly -
+    a large input has enough splits and should not pay for a shuffle.
 
     Hash (not round-robin) partitioning keeps task retries deterministic
     without a sort. Partitioning on an expression of the key rather than the
     key keeps the plan shape of a large input: an aggregate on (key, ...)
     downstream still has its own shuffle, which other branches of the same
     query can reuse (term frequencies feeding both IDF and the TF-IDF join)."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, F.xxhash64(key))
+    return df.repartition(partitions, F.xxhash64(key))
