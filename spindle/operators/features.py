@@ -51,16 +51,25 @@ def n_docs_of(docs: DataFrame) -> Column:
     return docs.agg(F.count(F.lit(1)).cast("double")).scalar()
 
 
+def own_exchange(df: DataFrame, key: str) -> DataFrame:
+    """`df` dealt out by a hash of `key`, so that a join on `key` has to exchange
+    it again. A side that an aggregate left partitioned by the key has no exchange
+    right under the join, and adaptive execution splits a hot key's partition
+    only if both sides have one. For sides that are small next to the other."""
+    return df.repartition(F.xxhash64(key))
+
+
 def tfidf(tf: DataFrame, idf: DataFrame, term: str = "term") -> DataFrame:
     """Join on term. Neither side has a size bound (the vocabulary grows with
     the corpus), so the join strategy is left to AQE, which also splits a hot
-    term's partition (skew join).
+    term's partition: a word like "the" is in nearly every document, so the
+    (small) IDF side gets an exchange of its own.
 
     The term frequency shuffle is shared with the IDF branch (see
     `inverse_document_frequencies`). The alternative, one shuffle of
     (doc, term) rows by term feeding both the document counts and a
     co-partitioned join, would put every row of a hot term in one task."""
-    return tf.join(idf.select(term, "idf"), term).withColumn("tfidf", F.col("tf") * F.col("idf"))
+    return tf.join(own_exchange(idf.select(term, "idf"), term), term).withColumn("tfidf", F.col("tf") * F.col("idf"))
 
 
 def hashed_tfidf_stages(num_features: int, text: str = "sentence"):

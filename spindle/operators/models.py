@@ -43,26 +43,19 @@ def nb_pipeline(num_features: int = SVM_BUCKETS, smoothing: float = NB_SMOOTHING
     return Pipeline(stages=hashed_tfidf_stages(num_features, text) + [nb])
 
 
-# Rows per partition while fitting: each optimizer iteration is one job with a
-# task per partition, so a small training set on many partitions pays the
-# per-task cost 100 times for nothing (measured at sf0.1, 2.4k rows, 100
-# iterations: 41 s on 8 partitions, 8 s on 1).
-FIT_ROWS_PER_PARTITION = 200_000
-
-
-def fit(pipeline: Pipeline, train: DataFrame, rows_per_partition: int = FIT_ROWS_PER_PARTITION) -> PipelineModel:
-    """Fit with the training rows cached for the iterations, then released.
-
-    The partition count follows the row count (one count job; only the
-    number reaches the driver): ceil(rows / rows_per_partition), never more
-    than the input has. Large inputs keep their parallelism."""
-    n = train.count()
-    current = train.rdd.getNumPartitions()
-    parts = max(1, min(current, -(-n // rows_per_partition)))
-    data = train.coalesce(parts) if parts < current else train
-    cached = data.cache()
+def fit(pipeline: Pipeline, train: DataFrame, partitions: int | None = None) -> PipelineModel:
+    """Fit the feature stages, cache `(label, features)` for the iterations of
+    the classifier (the last stage), then release them.
+
+    Featurizing runs on all partitions of the input; with `partitions`, only the
+    narrow feature rows are coalesced, as each iteration is a job with a task per
+    partition, which a small training set pays a hundred times."""
+    *features, classifier = pipeline.getStages()
+    featurizer = Pipeline(stages=features).fit(train)
+    rows = featurizer.transform(train).select("label", "features")
+    cached = (rows.repartition(partitions) if partitions else rows).cache()
     try:
-        return pipeline.fit(cached)
+        return PipelineModel(stages=[*featurizer.stages, classifier.fit(cached)])
     finally:
         cached.unpersist()
 

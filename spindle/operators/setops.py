@@ -18,10 +18,16 @@ def subtract_keep_duplicates(left: DataFrame, right: DataFrame) -> DataFrame:
 
     Unlike EXCEPT (distinct) or EXCEPT ALL, a left row that appears twice and
     is absent on the right stays twice, which is what an RDD `subtract` does.
-    Plans as a left-anti hash/sort-merge join on all columns.
+    Only a SHA-256 of each right row is shuffled, not its columns; the left side
+    is matched by the same digest of its own.
     """
-    cond = reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in left.columns])
-    return left.join(right, on=cond, how="left_anti")
+    def digest(df: DataFrame) -> Column:
+        cells = [F.when(df[c].isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.length(df[c].cast("string")).cast("string"),
+                 F.lit(":"), df[c].cast("string"))) for c in left.columns]
+        return F.sha2(F.concat(*cells), 256)
+
+    gone = right.select(digest(right).alias("_digest"))
+    return left.withColumn("_digest", digest(left)).join(gone, "_digest", "left_anti").drop("_digest")
 
 
 def sample_fraction(df: DataFrame, fraction: float, seed: int, with_replacement: bool = False) -> DataFrame:

@@ -2,31 +2,54 @@
 
 Spark's `window(ts, size, slide)` copies every row into size/slide windows
 (300 copies for 5 minutes / 1 second). Here rows are first pre-aggregated into
-tumbling buckets of one slide (partial aggregation, one row per key and bucket),
-and only those bucket rows are spread over the windows that contain them.
-Exact whenever `size` is a multiple of `slide`: a bucket lies wholly inside
-or wholly outside each window.
+tumbling buckets of one slide (partial aggregation, one row per key and bucket).
+A bucket then enters the running count at the first window that holds it and
+leaves it after the last one, so each bucket makes two change rows whatever the
+slide; the running sum of the changes of a key is the count of a window, and it
+holds until the next change. Windows between two changes are filled in last, on
+output. The running sum is the chunked scan of `running_totals`, so a hot key is
+spread over its chunks. Exact whenever `size` is a multiple of `slide`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spindle.functions.scalars import bucket_start
+from spindle.operators.running import running_totals
+
 
 def sliding_counts(df: DataFrame, ts: str, key: str | list[str], size_seconds: int, slide_seconds: int,
-                   value: str | None = None) -> DataFrame:
+                   value: str | None = None, chunk_seconds: int = 86400) -> DataFrame:
+    """Rows (window_start, window_end, key..., n[, sum_value]) for every window
+    that holds a row of the key. Rows without a time are in no window."""
     keys = [key] if isinstance(key, str) else list(key)
     if size_seconds % slide_seconds:
         raise ValueError("size must be a multiple of slide")
-    size, slide = f"{size_seconds} seconds", f"{slide_seconds} seconds"
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    if value:
-        aggs.append(F.sum(value).alias("_v"))
-    buckets = (df.groupBy(*keys, F.window(ts, slide).start.alias("_bucket")).agg(*aggs))
-    out_aggs = [F.sum("_n").alias("n")]
-    if value:
-        out_aggs.append(F.sum("_v").alias(f"sum_{value}"))
-    return (buckets.groupBy(F.window("_bucket", size, slide).alias("_w"), *keys).agg(*out_aggs)
-            .select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
-                    *keys, *[a for a in ["n", f"sum_{value}" if value else None] if a]))
+    aggs = [F.count(F.lit(1)).alias("_n")] + ([F.sum(value).alias("_v")] if value else [])
+    sums = ["_n"] + (["_v"] if value else [])
+    buckets = df.where(F.col(ts).isNotNull()).groupBy(*keys, bucket_start(ts, slide_seconds).alias("_bucket")).agg(*aggs)
+    seconds = lambda n: F.make_dt_interval(secs=F.lit(n))
+    # The first window with a bucket starts size - slide before it, the first one without it at its end.
+    changes = buckets.select(*keys, F.explode(F.array(
+        F.struct((F.col("_bucket") - seconds(size_seconds - slide_seconds)).alias("_at"), *[F.col(s).alias(s) for s in sums]),
+        F.struct((F.col("_bucket") + seconds(slide_seconds)).alias("_at"), *[(-F.col(s)).alias(s) for s in sums]))).alias("c"))
+    steps = changes.groupBy(*keys, F.col("c._at").alias("_at")).agg(*[F.sum(f"c.{s}").alias(s) for s in sums])
+    state = running_totals(steps, keys, "_at", sums, chunk=bucket_start("_at", chunk_seconds), prefix="_run")
+    # A count holds until the next change of its key: at most `size` later, as every bucket leaves by then.
+    nearby = Window.partitionBy(*keys, "_part").orderBy("_at")
+    cut = state.withColumn("_part", bucket_start("_at", chunk_seconds))
+    first = cut.groupBy(*keys, "_part").agg(F.min("_at").alias("_first"))
+    ahead = first.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_part").alias("_p"),
+                         F.lead("_first").over(Window.partitionBy(*keys).orderBy("_part")).alias("_after"))
+    same = F.col("_part") == F.col("_p")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    until = cut.withColumn("_next", F.lead("_at").over(nearby)).join(ahead, same) \
+        .withColumn("_until", F.coalesce("_next", "_after")).where("_run_n > 0")
+    start = F.explode(F.sequence(F.col("_at"), F.col("_until") - seconds(slide_seconds), seconds(slide_seconds)))
+    out = until.select(start.alias("window_start"), *keys, F.col("_run_n").alias("n"),
+                       *([F.col("_run_v").alias(f"sum_{value}")] if value else []))
+    return out.select("window_start", (F.col("window_start") + seconds(size_seconds)).alias("window_end"), *keys,
+                      "n", *([f"sum_{value}"] if value else []))

@@ -129,6 +129,11 @@ w AS (SELECT event_type, n,
              unnest(generate_series(bucket - INTERVAL '240 seconds', bucket, INTERVAL '60 seconds')) AS window_start
       FROM b)
 SELECT window_start, window_start + INTERVAL '300 seconds' AS window_end, event_type, CAST(sum(n) AS BIGINT) AS n
+FROM w GROUP BY window_start, event_type""",
+    "sliding_count_1s": """
+WITH b AS (SELECT event_type, time_bucket(INTERVAL '1 second', ts) AS bucket, count(*) AS n FROM events GROUP BY 1, 2),
+w AS (SELECT event_type, n, unnest(generate_series(bucket - INTERVAL '299 seconds', bucket, INTERVAL '1 second')) AS window_start FROM b)
+SELECT window_start, window_start + INTERVAL '300 seconds' AS window_end, event_type, CAST(sum(n) AS BIGINT) AS n
 FROM w GROUP BY window_start, event_type""",
     "json_project": f"SELECT id_str, created_at, text, k FROM ({_TWEETS})",
     "keyed_upsert_latest": f"""

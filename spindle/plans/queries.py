@@ -43,6 +43,7 @@ TOP_K = 10
 TRAIN_FRACTION = 0.6
 SPLIT_SEED = 11
 SAMPLE_SEED = 29
+FIT_PARTITIONS = 8  # of the cached feature rows of the labelled documents
 SLIDE_SECONDS = 60
 WINDOW_SECONDS = 300
 LOOKUP_USER = "Customer#000000001"
@@ -123,6 +124,12 @@ def sliding_count(spark: SparkSession, d: str) -> DataFrame:
     return sliding_counts(ev, "ts", "event_type", WINDOW_SECONDS, SLIDE_SECONDS)
 
 
+def sliding_count_1s(spark: SparkSession, d: str) -> DataFrame:
+    """The five-minute window at the original slide of one second."""
+    ev = read_table(spark, d, "events").select("ts", "event_type")
+    return sliding_counts(ev, "ts", "event_type", WINDOW_SECONDS, 1)
+
+
 # ------------------------------------------------------------ kafka and json
 def _tweets(spark: SparkSession, d: str) -> DataFrame:
     schema = T.StructType(TWEET_SCHEMA.fields + [T.StructField("k", T.IntegerType())])
@@ -226,7 +233,7 @@ def _model(spark: SparkSession, d: str, kind: str):
     if key not in _MODELS:
         train, _ = _split(spark, d)
         pipe = models.svm_pipeline() if kind == "svm" else models.nb_pipeline()
-        _MODELS[key] = models.fit(pipe, train)
+        _MODELS[key] = models.fit(pipe, train, FIT_PARTITIONS)
     return _MODELS[key]
 
 
@@ -304,6 +311,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "track_running_totals": track_running_totals,
     "session_marker_totals": session_marker_totals,
     "sliding_count": sliding_count,
+    "sliding_count_1s": sliding_count_1s,
     "json_project": json_project,
     "keyed_upsert_latest": keyed_upsert_latest,
     "kafka_offset_ranges": kafka_offset_ranges,
