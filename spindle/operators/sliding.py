@@ -7,8 +7,9 @@ A bucket then enters the running count at the first window that holds it and
 leaves it after the last one, so each bucket makes two change rows whatever the
 slide; the running sum of the changes of a key is the count of a window, and it
 holds until the next change. Windows between two changes are filled in last, on
-output. The running sum is the chunked scan of `running_totals`, so a hot key is
-spread over its chunks. Exact whenever `size` is a multiple of `slide`.
+output. The running sum is one window per key; its rows are at most two per slide
+step, however many events the key has, so a hot key is as long as the time range.
+Exact whenever `size` is a multiple of `slide`.
 """
 
 from __future__ import annotations
@@ -17,11 +18,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spindle.functions.scalars import bucket_start
-from spindle.operators.running import running_totals
 
 
 def sliding_counts(df: DataFrame, ts: str, key: str | list[str], size_seconds: int, slide_seconds: int,
-                   value: str | None = None, chunk_seconds: int = 86400) -> DataFrame:
+                   value: str | None = None) -> DataFrame:
     """Rows (window_start, window_end, key..., n[, sum_value]) for every window
     that holds a row of the key. Rows without a time are in no window."""
     keys = [key] if isinstance(key, str) else list(key)
@@ -36,18 +36,10 @@ def sliding_counts(df: DataFrame, ts: str, key: str | list[str], size_seconds: i
         F.struct((F.col("_bucket") - seconds(size_seconds - slide_seconds)).alias("_at"), *[F.col(s).alias(s) for s in sums]),
         F.struct((F.col("_bucket") + seconds(slide_seconds)).alias("_at"), *[(-F.col(s)).alias(s) for s in sums]))).alias("c"))
     steps = changes.groupBy(*keys, F.col("c._at").alias("_at")).agg(*[F.sum(f"c.{s}").alias(s) for s in sums])
-    state = running_totals(steps, keys, "_at", sums, chunk=bucket_start("_at", chunk_seconds), prefix="_run")
-    # A count holds until the next change of its key: at most `size` later, as every bucket leaves by then.
-    nearby = Window.partitionBy(*keys, "_part").orderBy("_at")
-    cut = state.withColumn("_part", bucket_start("_at", chunk_seconds))
-    first = cut.groupBy(*keys, "_part").agg(F.min("_at").alias("_first"))
-    ahead = first.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_part").alias("_p"),
-                         F.lead("_first").over(Window.partitionBy(*keys).orderBy("_part")).alias("_after"))
-    same = F.col("_part") == F.col("_p")
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    until = cut.withColumn("_next", F.lead("_at").over(nearby)).join(ahead, same) \
-        .withColumn("_until", F.coalesce("_next", "_after")).where("_run_n > 0")
+    by_key = Window.partitionBy(*keys).orderBy("_at")
+    state = steps.select(*keys, "_at", F.lead("_at").over(by_key).alias("_until"),
+                         *[F.sum(x).over(by_key.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_run{x}") for x in sums])
+    until = state.where("_run_n > 0")  # every bucket leaves, so a change follows
     start = F.explode(F.sequence(F.col("_at"), F.col("_until") - seconds(slide_seconds), seconds(slide_seconds)))
     out = until.select(start.alias("window_start"), *keys, F.col("_run_n").alias("n"),
                        *([F.col("_run_v").alias(f"sum_{value}")] if value else []))
