@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession
 from spindle import jobs
 from spindle.sources.kafka import kafka_options, read_kafka
 from spindle.sources.socket import file_lines, socket_lines
-from spindle.streaming.control import stop_gracefully
+from spindle.streaming.control import stop_gracefully, stop_on_exit
 
 
 def _lines(spark, args):
@@ -62,6 +62,7 @@ def main(argv=None) -> None:
     t.add_argument("--kerberos-service-name")
     t.add_argument("--group-id")
     t.add_argument("--min-partitions", type=int)
+    t.add_argument("--key", default="id_str", choices=["id_str", "key"], help="row key: tweet id or record key")
     args = p.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"spindle-{args.job}").getOrCreate()
@@ -82,10 +83,13 @@ def main(argv=None) -> None:
             kerberos_service_name=args.kerberos_service_name, group_id=args.group_id,
             min_partitions=args.min_partitions))
         q = jobs.tweets_to_table(records, args.table, args.audit, trigger=trigger,
-                                 checkpoint_location=args.checkpoint)
+                                 checkpoint_location=args.checkpoint, key=args.key)
+    active = [x for x in spark.streams.active if x.name.startswith(q.name)]
+    stop_on_exit(*active)
     if args.seconds:
         q.awaitTermination(args.seconds)
-        stop_gracefully(q, drain=False)
+        for x in active:
+            stop_gracefully(x)
     else:
         q.awaitTermination()
 

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindle.functions.scalars import is_uuid, parse_sensor_line
+from spindle.session import ensure_checkpoint_dir
 from spindle.operators import features as feat
 from spindle.operators import models
 from spindle.operators.setops import sample_fraction, subtract_keep_duplicates
@@ -42,21 +43,30 @@ _LAYOUTS = {
 }
 
 
-def labelled_lines(spark: SparkSession, path: str, layout: str = "a") -> DataFrame:
-    """CSV lines of one of the layouts -> `(label, sentence)`."""
-    return _LAYOUTS[layout](read_lines(spark, path))
+def labelled_lines(spark: SparkSession, path: str, layout: str = "a", rejects_path: str | None = None) -> DataFrame:
+    """CSV lines of one of the layouts -> `(label, sentence)`. Headers and lines
+    with a bad label go to `rejects_path` as text (by default a folder `rejects`
+    under the shared checkpoint folder)."""
+    good, bad = _LAYOUTS[layout](read_lines(spark, path), with_rejects=True)
+    bad.select("line").write.mode("append").text(rejects_path or _rejects(spark, "labelled_lines"))
+    return good
+
+
+def _rejects(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/rejects/{spark.sparkContext.applicationId}/{name}"
 
 
 def sentiment_job(spark: SparkSession, train_path: str, test_path: str | None = None,
                   train_layout: str = "b", test_layout: str = "a", buckets: int = models.SVM_BUCKETS,
-                  iterations: int = models.SVM_ITERATIONS, fraction: float = 0.6, seed: int = 11) -> dict:
+                  iterations: int = models.SVM_ITERATIONS, fraction: float = 0.6, seed: int = 11,
+                  rejects_path: str | None = None) -> dict:
     """Train on `train_path` and score `test_path`; without a test file the
     training lines are sampled (`fraction`, `seed`) and the rest is the test
     set (subtract). Returns the two fitted models and one-row DataFrames
     `auc` and `accuracy`."""
-    data = labelled_lines(spark, train_path, train_layout)
+    data = labelled_lines(spark, train_path, train_layout, rejects_path)
     if test_path:
-        train, test = data, labelled_lines(spark, test_path, test_layout)
+        train, test = data, labelled_lines(spark, test_path, test_layout, rejects_path)
     else:
         train = sample_fraction(data, fraction, seed)
         test = subtract_keep_duplicates(data, train)
@@ -104,7 +114,7 @@ def parse_sensor_lines(lines: DataFrame, line: str = "value", with_rejects: bool
     """`uuid,heart_rate,calorie` lines -> readings; lines with a bad UUID or
     number are rejected (kept apart, not dropped silently)."""
     rec = lines.select(parse_sensor_line(F.col(line)).alias("r"), F.col(line).alias("line"))
-    ok = (is_uuid(F.col("r.session_id")) & F.col("r.heart_rate").isNotNull() & F.col("r.calorie").isNotNull())
+    ok = F.coalesce(is_uuid(F.col("r.session_id")) & F.col("r.heart_rate").isNotNull() & F.col("r.calorie").isNotNull(), F.lit(False))
     good = rec.filter(ok).select("r.*")
     if not with_rejects:
         return good
@@ -113,8 +123,14 @@ def parse_sensor_lines(lines: DataFrame, line: str = "value", with_rejects: bool
 
 def sensor_stream(lines: DataFrame, name: str = "sensor", track_count: bool = True, on_reset: str = "keep",
                   trigger: dict | None = None, sink: str = "console", checkpoint_location: str | None = None,
-                  foreach_batch=None):
-    readings = parse_sensor_lines(lines)
+                  foreach_batch=None, rejects_path: str | None = None):
+    """Running totals per session. Bad lines are appended to `rejects_path` as text
+    by a second query, `<name>_rejects` (by default a folder `rejects` under the
+    shared checkpoint folder)."""
+    readings, bad = parse_sensor_lines(lines, with_rejects=True)
+    start(bad, f"{name}_rejects", "append", sink="text", trigger=trigger or {"processingTime": "5 seconds"},
+          checkpoint_location=checkpoint_location and f"{checkpoint_location.rstrip('/')}_rejects",
+          options={"path": rejects_path or _rejects(lines.sparkSession, name)})
     states = sensor_state_stream(readings, track_count=track_count, on_reset=on_reset)
     return start(states, name, "update", sink=sink, trigger=trigger or {"processingTime": "5 seconds"},
                  checkpoint_location=checkpoint_location, foreach_batch=foreach_batch)
@@ -122,10 +138,10 @@ def sensor_stream(lines: DataFrame, name: str = "sensor", track_count: bool = Tr
 
 def tweets_to_table(records: DataFrame, table_path: str, audit_path: str | None = None,
                     name: str = "tweets_to_table", trigger: dict | None = None,
-                    checkpoint_location: str | None = None, key: str = "key"):
+                    checkpoint_location: str | None = None, key: str = "id_str"):
     """Kafka records (stream) -> newest value per key in a keyed table.
-    `key`: "key" (the record key) or "id_str" (the tweet id, as the original
-    job keyed its rows)."""
+    `key`: "id_str" (the tweet id, as the original job keyed its rows) or "key"
+    (the record key, which producers often leave null)."""
     values = [c for c in ["key", "id_str", "created_at", "text"] if c != key]
     table = KeyedTable(table_path, key, ["timestamp", "offset"], values)
     tweets = tweets_from_records(records)

@@ -80,6 +80,12 @@ def hashed_tfidf_stages(num_features: int, text: str = "sentence"):
     ]
 
 
+def hashed_tf(df: DataFrame, num_features: int = 65, text: str = "sentence") -> DataFrame:
+    """`df` with `rawFeatures`, the hashed term frequencies."""
+    words = Tokenizer(inputCol=text, outputCol="words").transform(df)
+    return HashingTF(inputCol="words", outputCol="rawFeatures", numFeatures=num_features).transform(words)
+
+
 def hashed_tfidf(train: DataFrame, num_features: int = 65, text: str = "sentence"):
     """Fitted `PipelineModel` (tokenize, hash, IDF fitted on `train`)."""
     return Pipeline(stages=hashed_tfidf_stages(num_features, text)).fit(train)

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindle.functions.scalars import binarize_label, bucket_start
+from spindle.functions.text import java_split, lines_of
 from spindle.sources.kafka import as_kafka_records
 from spindle.sources.tables import read_table
 
@@ -31,6 +32,7 @@ SENSOR_CHUNK = DAY    # scan chunk of (session, hour) rows: at most 24 rows
 ROW_CHUNK = 60        # scan chunk of raw readings (row-level rules): one minute
 WORD_BATCH = DAY
 WORD_CHUNK = 7 * DAY
+TURN_CHUNK = 16        # scan chunk of (word, turn) rows
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
@@ -98,6 +100,26 @@ def sensor_readings(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def sensor_lines(spark: SparkSession, d: str) -> DataFrame:
+    """(event_id, value): `uuid,heart_rate,calorie` lines of the events. The UUID
+    comes from an MD5 of the user; an `error` event has a broken one, and an
+    event without a calorie value leaves the field empty."""
+    ev = read_table(spark, d, "events").select("event_id", "user_id", "event_type", "value", "props")
+    h = F.md5(F.col("user_id").cast("string"))
+    uuid = F.concat_ws("-", *[F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    line = F.concat(F.when(F.col("event_type") == "error", F.substring(uuid, 2, 40)).otherwise(uuid), F.lit(","),
+                    F.coalesce(F.col("value").try_cast("int").cast("string"), F.lit("")), F.lit(","),
+                    F.coalesce(F.get_json_object("props", "$.k"), F.lit("")))
+    return ev.select("event_id", line.alias("value"))
+
+
+def turn_words(spark: SparkSession, d: str) -> DataFrame:
+    """(batch, word): words of the lines of the conversations, a turn a batch."""
+    turns = read_table(spark, d, "conversations").select("turn", "text")
+    lines = turns.select(F.col("turn").alias("batch"), F.explode(lines_of("text")).alias("line"))
+    return lines.select("batch", F.explode(java_split("line")).alias("word"))
+
+
 def event_words(spark: SparkSession, d: str) -> DataFrame:
     ev = read_table(spark, d, "events").select("ts", "event_type")
     return ev.select(F.col("event_type").alias("word"), bucket_start("ts", WORD_BATCH).alias("batch"))

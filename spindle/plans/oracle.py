@@ -223,4 +223,34 @@ FROM sc, cnt, k""",
 SELECT c.c_name AS username, o.o_orderpriority AS role
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 WHERE c.c_name = 'Customer#000000001'""",
+    "text_file_words": _WORDS.replace("FROM documents)", "FROM documents WHERE text != '')"),
+    "word_count_running_turns": f"""
+WITH l AS (SELECT turn AS batch, unnest({_lines('text')}) AS line FROM conversations),
+w AS (SELECT batch, unnest({_jsplit('line', "' '")}) AS word FROM l),
+per AS (SELECT word, batch, count(*) AS n FROM w GROUP BY word, batch)
+SELECT word, batch, n AS batch_n, CAST(sum(n) OVER (PARTITION BY word ORDER BY batch ROWS UNBOUNDED PRECEDING) AS BIGINT) AS n FROM per""",
+    "sensor_lines": """
+WITH h AS (SELECT *, md5(CAST(user_id AS VARCHAR)) AS h FROM events),
+u AS (SELECT *, concat_ws('-', substr(h, 1, 8), substr(h, 9, 4), substr(h, 13, 4), substr(h, 17, 4), substr(h, 21, 12)) AS uuid FROM h),
+l AS (SELECT event_id, CASE WHEN event_type = 'error' THEN substr(uuid, 2) ELSE uuid END AS sid,
+             coalesce(CAST(CAST(trunc(value) AS INTEGER) AS VARCHAR), '') AS hr, coalesce(json_extract_string(props, '$.k'), '') AS cal FROM u),
+k AS (SELECT *, length(sid) = 36 AND TRY_CAST(hr AS INTEGER) IS NOT NULL AND TRY_CAST(cal AS INTEGER) IS NOT NULL AS ok FROM l)
+SELECT event_id, ok, CASE WHEN ok THEN sid END AS session_id, CASE WHEN ok THEN CAST(hr AS INTEGER) END AS heart_rate,
+       CASE WHEN ok THEN TRY_CAST(cal AS INTEGER) END AS calorie, CASE WHEN NOT ok THEN sid || ',' || hr || ',' || cal END AS rejected FROM k""",
+    "tweet_upsert_by_id": f"""
+SELECT id_str AS row_key, 'twt' AS family, 'createdat' AS qualifier, created_at AS value
+FROM (SELECT *, row_number() OVER (PARTITION BY id_str ORDER BY "timestamp" DESC, "offset" DESC) AS rn
+      FROM ({_TWEETS})) WHERE rn = 1""",
+    "hashing_tf_mass": f"SELECT doc_id, CAST(len({_tokens('sentence')}) AS BIGINT) AS n_tokens FROM ({_LABELLED})",
+    "libsvm_tf_mass": f"SELECT doc_id, CAST(len({_tokens('sentence')}) AS BIGINT) AS n_tokens FROM ({_LABELLED})",
+    "svm_label_counts": f"""
+SELECT label, count(*) AS n FROM (
+  SELECT CASE WHEN label = 0 THEN '0.0' ELSE '1.0' END AS label FROM ({_LABELLED}) WHERE NOT ({_SPLIT})
+  UNION ALL SELECT 'none' FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)) GROUP BY label""",
 }
+
+ORACLE_SQL["linear_score_auc"] = ORACLE_SQL["auc_by_rank"].replace(
+    "CAST(d.n_chars AS DOUBLE) AS score", "d.n_chars * 0.25::DOUBLE - (d.doc_id % 7) * 64.0::DOUBLE AS score")
+ORACLE_SQL["nb_exact_accuracy"] = f"""
+SELECT round(count(*) FILTER (label = prediction) / count(*), 6) AS accuracy, count(*) FILTER (label = prediction) AS n_correct,
+       count(*) AS n_test FROM ({ORACLE_SQL["nb_predict_exact"]})"""

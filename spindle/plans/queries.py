@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spindle.functions.scalars import bucket_start, int_div
+from spindle.functions.scalars import binarize_label, bucket_start, int_div, is_uuid, parse_sensor_line
 from spindle.operators import features as feat
 from spindle.operators import models
 from spindle.operators.lookup import roles_of_user
@@ -33,26 +33,35 @@ from spindle.plans import derived
 from spindle.sources.json import TWEET_SCHEMA, project_json
 from spindle.sources.kafka import kafka_value
 from spindle.sources.tables import read_table
-from spindle.session import checkpoint_dir, ensure_checkpoint_dir
+from spindle.session import ensure_checkpoint_dir
 from spindle.sinks.models import model_path, save_model
 from spindle.sources.text import (one_class_text, parse_csv_layout_a, parse_csv_layout_b, parse_csv_quoted,
-                                  parse_tsv_label_first, parse_tsv_text_first, read_libsvm, write_libsvm)
+                                  parse_tsv_label_first, parse_tsv_text_first, read_libsvm, read_lines, write_libsvm)
 
 # Query parameters.
 TOP_K = 10
 TRAIN_FRACTION = 0.6
 SPLIT_SEED = 11
 SAMPLE_SEED = 29
-FIT_PARTITIONS = 8  # of the cached feature rows of the labelled documents
+FIT_PARTITIONS = 2  # of the cached feature rows of the labelled documents, a few thousand here
 SLIDE_SECONDS = 60
 WINDOW_SECONDS = 300
 LOOKUP_USER = "Customer#000000001"
+CELL_FAMILY = "twt"
+CELL_QUALIFIERS = {"createdat": "created_at"}
 
 
 def _tag(d: str) -> str:
     return hashlib.md5(d.encode()).hexdigest()[:12]
 
 
+def _shared_path(spark: SparkSession, kind: str, d: str) -> str:
+    """A folder of this application and data folder under the shared one, so that
+    two applications never write to the same files."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{root}/{kind}/{spark.sparkContext.applicationId}/{_tag(d)}"
+
+
 def _r(c, digits: int = 6):
     return F.round(c, digits)
 
@@ -73,7 +82,36 @@ def word_count_sorted(spark: SparkSession, d: str) -> DataFrame:
     return sorted_counts(word_count(spark, d))
 
 
+def text_file_words(spark: SparkSession, d: str) -> DataFrame:
+    """Word counts of text files: the documents written as lines under the shared
+    folder and read by a text scan."""
+    path = _shared_path(spark, "text", d)
+    docs = read_table(spark, d, "documents", ["doc_id", "text"], spread_key="doc_id").where("text != ''")
+    docs.select("text").write.mode("overwrite").text(path)
+    return word_counts(line_words(read_lines(spark, path).withColumnRenamed("value", "line")))
+
+
 # -------------------------------------------------------------- running state
+def word_count_running_turns(spark: SparkSession, d: str) -> DataFrame:
+    """Running word count over the lines of the conversations, batch by turn."""
+    per = word_counts(derived.turn_words(spark, d), by=["batch"])
+    out = running_totals(per, key="word", order="batch", values=["n"], prefix="total_",
+                         chunk=F.floor(F.col("batch") / derived.TURN_CHUNK))
+    return out.select("word", "batch", F.col("n").alias("batch_n"), F.col("total_n").alias("n"))
+
+
+def sensor_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Sensor lines parsed from text: readings of good lines, and the bad ones kept
+    with their line."""
+    lines = derived.sensor_lines(spark, d)
+    r = parse_sensor_line(F.col("value"))
+    ok = F.coalesce(is_uuid(F.col("r.session_id")) & F.col("r.heart_rate").isNotNull() & F.col("r.calorie").isNotNull(), F.lit(False))
+    rec = lines.select("event_id", "value", r.alias("r")).withColumn("ok", ok)
+    only = lambda c: F.when(F.col("ok"), F.col(c))
+    return rec.select("event_id", "ok", only("r.session_id").alias("session_id"), only("r.heart_rate").alias("heart_rate"),
+                      only("r.calorie").alias("calorie"), F.when(~F.col("ok"), F.col("value")).alias("rejected"))
+
+
 def word_count_running(spark: SparkSession, d: str) -> DataFrame:
     per = word_counts(derived.event_words(spark, d), by=["batch"])  # (batch, word, n)
     out = running_totals(per, key="word", order="batch", values=["n"], prefix="total_",
@@ -143,7 +181,13 @@ def json_project(spark: SparkSession, d: str) -> DataFrame:
 
 def keyed_upsert_latest(spark: SparkSession, d: str) -> DataFrame:
     latest = latest_per_key(_tweets(spark, d), "key", ["timestamp", "offset"], ["created_at"])
-    return to_cells(latest, "key", "twt", {"createdat": "created_at"})
+    return to_cells(latest, "key", CELL_FAMILY, CELL_QUALIFIERS)
+
+
+def tweet_upsert_by_id(spark: SparkSession, d: str) -> DataFrame:
+    """The same put keyed by the tweet id, as the original job keys its rows."""
+    latest = latest_per_key(_tweets(spark, d), "id_str", ["timestamp", "offset"], ["created_at"])
+    return to_cells(latest, "id_str", CELL_FAMILY, CELL_QUALIFIERS)
 
 
 def kafka_offset_ranges(spark: SparkSession, d: str) -> DataFrame:
@@ -266,6 +310,47 @@ def nb_predict_exact(spark: SparkSession, d: str) -> DataFrame:
     return nb_exact(train, test)
 
 
+def linear_score_auc(spark: SparkSession, d: str) -> DataFrame:
+    """AUC of a fixed linear score, through the report that the SVM uses."""
+    docs = read_table(spark, d, "documents").select("doc_id", "n_chars")
+    labels = read_table(spark, d, "labels").select("doc_id", "quality")
+    score = F.col("n_chars") * 0.25 - F.pmod(F.col("doc_id"), F.lit(7)) * 64.0
+    scored = docs.join(labels, "doc_id").select(score.alias("score"), binarize_label("quality").alias("label"))
+    return models.area_under_roc(scored).select(_r(F.col("auc")).alias("auc"), "n_pos", "n_neg")
+
+
+def nb_exact_accuracy(spark: SparkSession, d: str) -> DataFrame:
+    """Accuracy report of the exact-term Naive Bayes."""
+    return models.accuracy(nb_predict_exact(spark, d)).select(_r(F.col("accuracy")).alias("accuracy"), "n_correct", "n_test")
+
+
+def _raw_mass(df: DataFrame) -> DataFrame:
+    mass = F.aggregate(vector_to_array("rawFeatures"), F.lit(0.0), lambda a, x: a + x)
+    return df.select("doc_id", mass.cast("bigint").alias("n_tokens"))
+
+
+def hashing_tf_mass(spark: SparkSession, d: str) -> DataFrame:
+    """Hashed term frequencies summed over all buckets: a document's tokens."""
+    hashed = feat.hashed_tf(derived.labelled_docs(spark, d), models.SVM_BUCKETS)
+    return _raw_mass(hashed)
+
+
+def libsvm_tf_mass(spark: SparkSession, d: str) -> DataFrame:
+    """The same sums after a LIBSVM round trip, the id travelling as the label."""
+    path = _shared_path(spark, "libsvm-mass", d)
+    hashed = feat.hashed_tf(derived.labelled_docs(spark, d), models.SVM_BUCKETS)
+    write_libsvm(hashed.select(F.col("doc_id").cast("double").alias("label"), F.col("rawFeatures").alias("features")), path)
+    back = read_libsvm(spark, path).select(F.col("label").cast("bigint").alias("doc_id"), F.col("features").alias("rawFeatures"))
+    return _raw_mass(back)
+
+
+def svm_label_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Scored rows by label, of the test split and of documents without a label."""
+    test = svm_scores(spark, d).where("score IS NOT NULL").select(F.col("label").cast("string").alias("label"))
+    new = score_new(spark, d).where("score IS NOT NULL AND prediction IN (0.0, 1.0)").select(F.lit("none").alias("label"))
+    return test.unionAll(new).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
 def nb_accuracy(spark: SparkSession, d: str) -> DataFrame:
     _, test = _split(spark, d)
     return models.accuracy(models.predictions(_model(spark, d, "nb"), test))
@@ -274,7 +359,7 @@ def nb_accuracy(spark: SparkSession, d: str) -> DataFrame:
 def score_new(spark: SparkSession, d: str) -> DataFrame:
     """Documents without a label, scored by the saved-then-loaded SVM model."""
     ensure_checkpoint_dir(spark)
-    path = model_path(spark, f"svm-{_tag(d)}")
+    path = model_path(spark, f"svm-{spark.sparkContext.applicationId}-{_tag(d)}")
     save_model(_model(spark, d, "svm"), path)
     loaded = PipelineModel.load(path)
     docs = read_table(spark, d, "documents", ["doc_id", "text"], spread_key="doc_id")
@@ -291,7 +376,7 @@ def libsvm_features(spark: SparkSession, d: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
     train, _ = _split(spark, d)
     pm = feat.hashed_tfidf(train, models.SVM_BUCKETS)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/libsvm/{_tag(d)}"
+    path = _shared_path(spark, "libsvm", d)
     write_libsvm(pm.transform(train), path)
     return read_libsvm(spark, path).select("label", vector_to_array("features").alias("features"))
 
@@ -336,6 +421,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_new": score_new,
     "libsvm_features": libsvm_features,
     "key_role_lookup": key_role_lookup,
+    "text_file_words": text_file_words,
+    "word_count_running_turns": word_count_running_turns,
+    "sensor_lines": sensor_lines,
+    "tweet_upsert_by_id": tweet_upsert_by_id,
+    "linear_score_auc": linear_score_auc,
+    "nb_exact_accuracy": nb_exact_accuracy,
+    "hashing_tf_mass": hashing_tf_mass,
+    "libsvm_tf_mass": libsvm_tf_mass,
+    "svm_label_counts": svm_label_counts,
 }
 
 

@@ -85,21 +85,28 @@ TARGET_SPLIT_BYTES = 256 * 1024 * 1024
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
-def cluster_settings(input_bytes: int, total_cores: int) -> dict:
+# The largest shuffle of the queries, as a share of the input, where it is not
+# known: partial aggregates and pruned columns come before every shuffle.
+SHUFFLE_SHARE = 0.1
+
+
+def cluster_settings(input_bytes: int, total_cores: int, shuffle_bytes: int | None = None) -> dict:
     """Settings for a cluster run over `input_bytes` of input on `total_cores`.
 
-    * shuffle partitions: enough for ~256 MB per partition at the largest
-      shuffle (taken as the input size), at least 2 per core; AQE then
-      coalesces small ones toward the advisory size, so over-provisioning
-      is cheap while under-provisioning spills;
+    * shuffle partitions: ~256 MB each of the largest shuffle (`shuffle_bytes`,
+      by default SHUFFLE_SHARE of the input), at least 2 per core; map status on
+      the driver grows with map tasks times these, so they follow what is
+      shuffled and not what is read;
     * scan splits of 256 MB;
     * skew join: a partition 5x the median and over 512 MB is split;
     * broadcast only what is measured under 64 MB at run time (AQE), never a
       side whose size is unknown at planning;
     * RocksDB state store with changelog checkpoints, so streaming state
-      (sessions, words, windows) lives off-heap and commits incrementally.
+      (sessions, words, windows) lives off-heap and commits incrementally. Streams
+      take `stream_settings` on top.
     """
-    shuffle = max(2 * total_cores, -(-int(input_bytes) // TARGET_SHUFFLE_PARTITION_BYTES))
+    moved = int(input_bytes * SHUFFLE_SHARE) if shuffle_bytes is None else int(shuffle_bytes)
+    shuffle = max(2 * total_cores, -(-moved // TARGET_SHUFFLE_PARTITION_BYTES))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -115,3 +122,9 @@ def cluster_settings(input_bytes: int, total_cores: int) -> dict:
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
+
+
+def stream_settings(total_cores: int) -> dict:
+    """Settings for a streaming application: its shuffle partitions are its state
+    stores, fixed by the first run of a checkpoint, so they follow the cores."""
+    return {"spark.sql.shuffle.partitions": str(max(1, total_cores))}

@@ -15,10 +15,15 @@ from pyspark.sql import functions as F
 KAFKA_COLUMNS = ("key", "value", "topic", "partition", "offset", "timestamp")
 
 
+# Default: the most records of a micro-batch; without it, the first batch from the
+# earliest offsets would be the whole topic.
+MAX_OFFSETS_PER_TRIGGER = 1_000_000
+
+
 def kafka_options(bootstrap_servers: str, topics: str | list[str], starting_offsets: str = "earliest",
                   security_protocol: str | None = None, kerberos_service_name: str | None = None,
                   group_id: str | None = None, min_partitions: int | None = None,
-                  max_offsets_per_trigger: int | None = None, extra: dict | None = None) -> dict:
+                  max_offsets_per_trigger: int | None = MAX_OFFSETS_PER_TRIGGER, extra: dict | None = None) -> dict:
     """Options for `spark.read/readStream.format('kafka')`.
 
     `topics` is a comma list or a list (subscribe); a `SASL_PLAINTEXT` +

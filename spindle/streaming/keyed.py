@@ -25,8 +25,16 @@ def tweets_from_records(records: DataFrame, schema: T.StructType = TWEET_SCHEMA)
 
 
 def upsert_batch_fn(table: KeyedTable, audit_path: str | None = None):
-    """`foreachBatch` function: upsert the batch, and record its offset ranges."""
+    """`foreachBatch` function: upsert the batch, and record its offset ranges.
+    The batch is read and parsed once and kept until all three writes are done."""
     def fn(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            write(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
         if "parsed" in batch.columns:
             table.write_batch(batch.filter(F.col("parsed")).drop("parsed", "value"), batch_id,
                               extra_rejects=batch.filter(~F.col("parsed")).drop("parsed"))

@@ -37,7 +37,7 @@ def _state_fn(track_count: bool, on_reset: str, idle_timeout_ms: int | None = No
         for pdf in chunks:
             hr += int(pdf["heart_rate"].sum())
             cal += int(pdf["calorie"].sum())
-            n += len(pdf)
+            n += int(pdf["n"].sum()) if "n" in pdf else len(pdf)
         th, tc, tn = state.get if state.exists else (0, 0, 0)
         if hr == -1 and cal == -1:
             th, tc, tn = 0, 0, (1 if track_count else 0)
@@ -59,6 +59,18 @@ def _state_fn(track_count: bool, on_reset: str, idle_timeout_ms: int | None = No
     return update
 
 
+def _partial_sums(key: str):
+    """Sums per key of one Arrow batch: what a keyed state step gets is at most one
+    row per key and batch, so a hot session is summed where its rows are read."""
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            grouped = pdf.groupby(key, dropna=False, sort=False)
+            out = grouped[["heart_rate", "calorie"]].sum().astype("int64")
+            out["n"] = grouped.size()
+            yield out.reset_index()[[key, "heart_rate", "calorie", "n"]]
+    return sums
+
+
 def sensor_state_stream(readings: DataFrame, track_count: bool = True, on_reset: str = "keep",
                         key: str = "session_id", idle_timeout_ms: int | None = None) -> DataFrame:
     """`readings`: streaming rows (session_id, heart_rate, calorie).
@@ -71,8 +83,9 @@ def sensor_state_stream(readings: DataFrame, track_count: bool = True, on_reset:
     if track_count:
         out += ", total_n bigint, avg_hr bigint, avg_cal bigint"
     state = "hr bigint, cal bigint, n bigint"
-    return (readings.select(key, "heart_rate", "calorie")
-            .groupBy(key)
+    sums = readings.select(key, "heart_rate", "calorie").mapInPandas(
+        _partial_sums(key), f"{key} {key_type}, heart_rate bigint, calorie bigint, n bigint")
+    return (sums.groupBy(key)
             .applyInPandasWithState(_state_fn(track_count, on_reset, idle_timeout_ms), out, state, "update",
                                     GroupStateTimeout.ProcessingTimeTimeout if idle_timeout_ms is not None
                                     else GroupStateTimeout.NoTimeout))

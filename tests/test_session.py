@@ -2,7 +2,7 @@
 
 import os
 
-from spindle.session import cluster_settings
+from spindle.session import cluster_settings, stream_settings
 from spindle.streaming.control import start
 from spindle.streaming.wordcount import running_word_counts
 
@@ -11,7 +11,9 @@ def test_cluster_settings_scale_with_input():
     small = cluster_settings(10 * 1024 ** 3, 64)
     big = cluster_settings(100 * 1024 ** 4, 8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 128          # floor: 2 per core
-    assert int(big["spark.sql.shuffle.partitions"]) == 409600          # 100 TB / 256 MB
+    assert int(big["spark.sql.shuffle.partitions"]) == 40960           # a tenth of 100 TB / 256 MB
+    assert int(cluster_settings(100 * 1024 ** 4, 8000, 1024 ** 4)["spark.sql.shuffle.partitions"]) == 16000
+    assert int(stream_settings(500)["spark.sql.shuffle.partitions"]) == 500
     assert big["spark.sql.autoBroadcastJoinThreshold"] == "-1"         # no static broadcast of unknown sizes
 
 

@@ -107,7 +107,7 @@ def test_stop_gracefully(spark, scratch):
         f.write("a b\n")
     q = start(running_word_counts(spark.readStream.text(src)), "wc3", "complete",
               trigger={"processingTime": "1 second"}, checkpoint_location=os.path.join(scratch, "c3"))
-    stop_gracefully(q)
+    stop_gracefully(q, drain=True)
     assert not q.isActive
     assert {r.word for r in spark.sql("select * from wc3").collect()} == {"a", "b"}
 
