@@ -45,7 +45,7 @@ WIDTH = 200
 GRAM = 24
 GROUP = 4096
 FILTER_BITS = 1 << 25
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 SEGMENT = 8 << 20
 PLACE_BITS = 24     # of a packed hash: place within a segment
 BATCHES = 2

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 1 << 20
+SLICE = 1 << 19
 U = np.uint64
 # Odd multipliers of the two polynomial hashes.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
