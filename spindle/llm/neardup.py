@@ -328,7 +328,8 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("__id"))
     stay = named.where("root IS NOT NULL").groupBy("root").agg(F.min(rank)["__id"].alias("__id")).select("__id")
     stay = stage(stay.unionAll(named.where("root IS NULL").select("__id")), "near-stay")
-    return rows.join(stay, "__id", "left_semi").drop("__id")
+    # By a shuffle at every size, like the fetch of the texts above.
+    return rows.join(stay.hint("merge"), "__id", "left_semi").drop("__id")
 
 
 def op3_neardup(spark: SparkSession, data_dir: str) -> DataFrame:
