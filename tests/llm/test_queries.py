@@ -30,6 +30,16 @@ def test_empty_tables(spark, nothing, name):
     assert QUERIES[name](spark, nothing).count() == 0
 
 
+@pytest.mark.parametrize("name,table", [("op1_suffixes", "documents"), ("op4_toxicity", "documents"), ("op5_html", "pages"),
+                                        ("op10_chunks", "documents")])
+def test_edge_cases_give_a_row_each(spark, cases, name, table):
+    """Null ids and texts, repeated rows and clashing columns: one row per row."""
+    rows = QUERIES[name](spark, cases).collect()
+    key = "page_id" if table == "pages" else "doc_id"
+    want = duck(cases).execute(f"SELECT {key} FROM {table}").fetchall()
+    assert sorted((r[key] for r in rows), key=str) == sorted((w[0] for w in want), key=str)
+
+
 def test_every_operator_has_a_query():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
     assert set(SCHEMAS) == {"documents", "benchmark", "pages", "labels"}
