@@ -12,9 +12,11 @@ tags) and which contents its blocks show. Over m pages,
 A path's importance is (1 - GAMMA) * presentation + GAMMA * content. Branches
 below `THRESHOLD` that at least `LEAST_PAGES` pages share are template and are
 cut from each page; a branch goes when all its paths do. Elements that are no
-article by their tag, class, id or role (menus, headers, footers, forms, adverts,
-comments, ...) never enter the tree, and if a page has an article or main
-element, only that is read.
+article by their tag, role, or a whole class or id (menus, headers, footers,
+forms, adverts, comments, ...) never enter the tree. A class or id that only
+contains such a word ("no-sidebar") says nothing, nor does any on html, body, main
+or article; text outside an article or main element is read like any other, and
+the tree decides.
 
 The tree is kept as counts by (host, path, value), summed before the shuffle, so
 a large host is no large group; what a host loses is one short list of paths.
@@ -60,17 +62,24 @@ DROPPED_NAMES = frozenset((
     "cookies", "disclaimer", "footer", "header", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice",
     "pager", "pagination", "popup", "promo", "related", "replies", "share", "sharing", "sidebar", "social", "sponsor", "sponsored",
     "subscribe", "toolbar"))
+DROPPED_COMPOUNDS = frozenset((
+    "ad-banner", "ad-box", "ad-container", "ad-slot", "ad-unit", "ad-wrapper", "adsbygoogle", "banner-ad", "comment-form",
+    "comment-list", "comments-area", "comments-list", "comments-section", "cookie-banner", "cookie-bar", "cookie-consent",
+    "cookie-notice", "cookie-popup", "footer-links", "footer-menu", "footer-nav", "footer-widgets", "global-footer", "global-header",
+    "global-nav", "main-menu", "main-nav", "main-navigation", "nav-bar", "nav-links", "nav-menu", "newsletter-form",
+    "newsletter-signup", "page-footer", "post-navigation", "primary-menu", "primary-nav", "related-articles", "related-links",
+    "related-posts", "share-bar", "share-buttons", "share-links", "sharing-buttons", "site-footer", "site-header", "site-nav",
+    "site-navigation", "social-buttons", "social-icons", "social-links", "social-share", "top-nav"))
+KEPT_TAGS = frozenset(("html", "body", "main", "article"))  # never dropped by class or id
 DROPPED_ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu"))
 CLOSED_BY_SIBLING = {"p": None, "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
                      "th": ("td", "th"), "option": ("option",)}
-MAIN_TAGS = frozenset(("article", "main"))
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW_TAGS) + r")(?=[\s>/])[^<>]*>.*?(?:</\1\s*>|\Z)|<[!?][^<>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"<]{0,2000}\"|'[^'<]{0,2000}')*|[^<>]*)(?:>|\Z|(?=<))", re.S | re.I)
-_ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _SPACE = re.compile(r"\s+")
-_NAME = re.compile(r"[a-z0-9]+")
 
 
 def _drops(tag: str, attributes: str) -> bool:
@@ -81,15 +90,15 @@ def _drops(tag: str, attributes: str) -> bool:
         if name.lower() == "role":
             if value.strip() in DROPPED_ROLES:
                 return True
-        elif any(w in DROPPED_NAMES for w in _NAME.findall(value)):
+        elif tag not in KEPT_TAGS and any(w in DROPPED_NAMES or w.replace("_", "-") in DROPPED_COMPOUNDS for w in value.split()):
             return True
     return "hidden" in attributes.lower().split() if attributes else False
 
 
 def blocks(page: str) -> list[tuple[str, str, str]]:
     """(path, inline tags, text) of the blocks of a page, in page order."""
-    found: list[tuple[bool, str, str, str]] = []
-    open_: list[tuple[str, str, bool, bool]] = []  # tag, path, dropped, main
+    found: list[tuple[str, str, str]] = []
+    open_: list[tuple[str, str, bool]] = []  # tag, path, dropped
     depth: Counter = Counter()  # open elements by tag
     pieces: list[str] = []
     inline: list[str] = []
@@ -98,8 +107,7 @@ def blocks(page: str) -> list[tuple[str, str, str]]:
     def flush() -> None:
         text = _SPACE.sub(" ", entities.unescape("".join(pieces))).strip() if pieces else ""
         if text:
-            path, main = (open_[-1][1], open_[-1][3]) if open_ else ("", False)
-            found.append((main, path, " ".join(inline), text))
+            found.append((open_[-1][1] if open_ else "", " ".join(inline), text))
         pieces.clear()
         inline.clear()
 
@@ -144,13 +152,11 @@ def blocks(page: str) -> list[tuple[str, str, str]]:
         if len(path) > LONGEST_PATH:
             path = f"#{_value(path):x}"
         depth[tag] += 1
-        main = bool(open_ and open_[-1][3]) or tag in MAIN_TAGS
-        open_.append((tag, path, dropped or _drops(tag, attributes), main))
+        open_.append((tag, path, dropped or _drops(tag, attributes)))
     if at < len(page) and not (open_ and open_[-1][2]):
         pieces.append(page[at:])
     flush()
-    only_main = any(f[0] for f in found)
-    return [f[1:] for f in found if f[0] or not only_main]
+    return found
 
 
 def _value(text: str) -> int:

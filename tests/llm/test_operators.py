@@ -72,6 +72,21 @@ def test_html_main_text(spark):
     assert got[0].url is None or "html" not in got[0].asDict()
 
 
+@pytest.mark.parametrize("page", [
+    '<html><body class="no-sidebar"><p>kept</p></body></html>', '<body class="sidebar" id=header><p>kept</p>',
+    '<article class="post has-comments"><p>kept</p></article>', '<main id="comments"><p>kept</p></main>',
+    '<div id="content" class="header-fixed"><p>kept</p></div>', '<div class="ad-free two_menu"><p>kept</p></div>',
+    '<div data-role="form" data-id="menu"><p>kept</p></div>',
+    '<div class="x sidebar">s</div><div class="cookie_banner">c</div><div id=site-footer>f</div><div role=banner>b</div><p>kept</p>'])
+def test_html_drops_by_whole_names_only(page):
+    assert [text for _, _, text in html.blocks(page)] == ["kept"]
+
+
+def test_html_keeps_text_beside_an_article():
+    got = html.blocks("<body><div><p>body one</p><p>body two</p></div><article><p>teaser</p></article><div class=ad>x</div></body>")
+    assert [text for _, _, text in got] == ["body one", "body two", "teaser"]
+
+
 def test_site_style_tree_cuts_template_branches(spark):
     rows = [(i, "http://s.com/%d" % i, f"<div><section><p>Always the same line</p></section><p>{prose(i, 12)}</p><p>{prose(100 + i, 5)}</p></div>", "")
             for i in range(12)]
