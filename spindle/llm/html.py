@@ -1,29 +1,34 @@
 """HTML extraction with a site style tree.
 
 Every page is read into blocks (the text between block-level tags) under the
-path of their block-level elements. The pages of a host merge into one tree: for
-each path, how many pages have it, which presentations (sequences of inline
-tags) and which contents its blocks show. Over m pages,
-
-* presentation importance is the entropy of the presentations, base m;
-* content importance is 1 minus the mean, over contents, of the entropy of a
-  content's spread over the m pages: 0 if every page repeats it.
-
-A path's importance is (1 - GAMMA) * presentation + GAMMA * content. Branches
-below `THRESHOLD` that at least `LEAST_PAGES` pages share are template and are
-cut from each page; a branch goes when all its paths do. Elements that are no
+path of their block-level elements, each a tag with its classes and id (digits in
+them as 0; html and body by tag alone). The pages of a host merge into one tree:
+for each path, how many pages m have it, which presentations (sequences of inline
+tags) and which contents its blocks show. Pages of a host with the same blocks are
+one page here, so copies of a page under many URLs are no template.
+
+* presentation importance is the entropy of the path's presentations, base m;
+* content importance, of each content, is 1 minus the entropy of its spread over
+  the m pages: 0 if every page repeats it, 1 if one page has it.
+
+A content's importance under its path is (1 - GAMMA) * presentation + GAMMA *
+content. Contents below `THRESHOLD` that most of a path's pages show, under paths
+that at least `LEAST_PAGES` pages share, are template and are cut from each page (on
+a large host, a line on a quarter of the pages has a low importance too, but may
+well be article text); a branch goes when all its contents
+do, and a notice goes from among the paragraphs it shares a path with. Elements that are no
 article by their tag, role, or a whole class or id (menus, headers, footers,
 forms, adverts, comments, ...) never enter the tree. A class or id that only
 contains such a word ("no-sidebar") says nothing, nor does any on html, body, main
 or article; text outside an article or main element is read like any other, and
 the tree decides.
 
-The tree is kept as counts by (host, path, value), summed before the shuffle, so
-a large host is no large group; what a host loses is one short list of paths.
+A page is shuffled once, as hashes by its digest; the tree is kept as counts by
+(host, path, value), summed before the shuffle, so a large host is no large group;
+what a host loses is one short list of contents repeated on most of a path's pages.
 
 Nulls and edge cases: null or empty html gives an empty text; a null url is a
-host of its own; comments, tags and scripts may end with the page; identical
-pages count as pages; an empty table gives an empty result; columns whose names
+host of its own; comments, tags and scripts may end with the page; an empty table gives an empty result; columns whose names
 clash with the result's are replaced.
 """
 
@@ -80,6 +85,7 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"<]{0,2000}\"|'[^'<]{0,2000}')*|[^<>]*)(?:>|\Z|(?=<))", re.S | re.I)
 _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _SPACE = re.compile(r"\s+")
+_DIGITS = re.compile(r"[0-9]+")
 
 
 def _drops(tag: str, attributes: str) -> bool:
@@ -95,6 +101,14 @@ def _drops(tag: str, attributes: str) -> bool:
     return "hidden" in attributes.lower().split() if attributes else False
 
 
+def _node(tag: str, attributes: str) -> str:
+    if not attributes or tag in ("html", "body"):
+        return tag
+    names = {mark + _DIGITS.sub("0", w) for name, a, b, c in _ATTRIBUTE.findall(attributes)
+             if (mark := {"class": ".", "id": "#"}.get(name.lower())) for w in (a or b or c).lower().split()}
+    return tag + "".join(sorted(names)).replace("/", "")
+
+
 def blocks(page: str) -> list[tuple[str, str, str]]:
     """(path, inline tags, text) of the blocks of a page, in page order."""
     found: list[tuple[str, str, str]] = []
@@ -148,7 +162,7 @@ def blocks(page: str) -> list[tuple[str, str, str]]:
                 dropped = bool(open_ and open_[-1][2])
         if dropped and open_[-1][0] != tag and attributes.endswith("/"):
             continue
-        path = (open_[-1][1] + "/" if open_ else "") + tag
+        path = (open_[-1][1] + "/" if open_ else "") + _node(tag, attributes)
         if len(path) > LONGEST_PATH:
             path = f"#{_value(path):x}"
         depth[tag] += 1
@@ -163,36 +177,50 @@ def _value(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
+def _content(path: str, text: str) -> int:
+    return _value(f"{path}\0{text}")
+
+
 PAGE, PRESENTATION, CONTENT = 0, 1, 2
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """pages (host, html) -> (host, path, pages, importance)."""
+    """pages (host, html) -> (host, path, content, shown, pages, importance), for
+    each content that two or more different pages show under a path; `shown` is the
+    number of these, `pages` that of all different pages with the path."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_type = pa.list_(pa.struct([("path", pa.string()), ("kind", pa.int32()), ("value", pa.int64())]))
         for batch in batches:
-            seen: Counter = Counter()
+            seen: dict = {}
             for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+                found = blocks(page or "")
+                if not found:
+                    continue
+                at = hashlib.blake2b(digest_size=16)
                 own = set()
-                for path, inline, text in blocks(page or ""):
-                    own |= {(host, path, PAGE, 0), (host, path, PRESENTATION, _value(inline)), (host, path, CONTENT, _value(text))}
-                seen.update(own)
-            cols = list(zip(*seen)) if seen else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                [*cols, list(seen.values())], (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64()))], ["host", "path", "kind", "value", "n"])
-
-    counts = pages.select("host", "html").mapInArrow(count, "host string, path string, kind int, value long, n long") \
-        .groupBy("host", "path", "kind", "value").agg(F.sum("n").alias("n"))
+                for path, inline, text in found:
+                    at.update(f"{path}\0{inline}\0{text}\0".encode("utf-8", "surrogatepass"))
+                    own |= {(path, PAGE, 0), (path, PRESENTATION, _value(inline)), (path, CONTENT, _content(path, text))}
+                seen[host, at.digest()] = own
+            hosts, digests = zip(*seen) if seen else ([], [])
+            own = [[{"path": p, "kind": k, "value": v} for p, k, v in sorted(o)] for o in seen.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(digests, pa.binary()), pa.array(own, own_type)],
+                                             ["host", "page", "own"])
+
+    once = pages.select("host", "html").mapInArrow(read, "host string, page binary, own array<struct<path string, kind int, value long>>") \
+        .dropDuplicates(["host", "page"])
+    counts = stage(once.select("host", F.explode("own").alias("o")).groupBy("host", "o.path", "o.kind", "o.value")
+                   .agg(F.count(F.lit(1)).alias("n")), "html-tree")
     of = lambda kind, x: F.sum(F.when(F.col("kind") == kind, x).otherwise(F.lit(0.0)))
     n = F.col("n").cast("double")
-    sums = counts.groupBy("host", "path").agg(
-        of(PAGE, n).alias("m"), of(PRESENTATION, n).alias("shows"), of(PRESENTATION, n * F.log(n)).alias("show_logs"),
-        of(CONTENT, F.lit(1.0)).alias("contents"), of(CONTENT, F.log(n)).alias("content_logs"))
-    one = F.col("m") <= 1
-    presentation = F.when(one, 1.0).otherwise((F.log("shows") - F.col("show_logs") / F.col("shows")) / F.log("m"))
-    content = F.when(one, 1.0).otherwise(1.0 - F.col("content_logs") / F.col("contents") / F.log("m"))
-    return sums.select("host", "path", F.col("m").cast("long").alias("pages"),
-                       ((1 - GAMMA) * presentation + GAMMA * content).alias("importance"))
+    sums = counts.where(F.col("kind") != CONTENT).groupBy("host", "path").agg(
+        of(PAGE, n).alias("m"), of(PRESENTATION, n).alias("shows"), of(PRESENTATION, n * F.log(n)).alias("show_logs")).where("m > 1")
+    presentation = F.least(F.lit(1.0), (F.log("shows") - F.col("show_logs") / F.col("shows")) / F.log("m"))
+    content = 1.0 - F.log(n) / F.log("m")
+    repeated = counts.where((F.col("kind") == CONTENT) & (F.col("n") > 1)).select("host", "path", F.col("value").alias("content"), "n")
+    return repeated.join(sums, ["host", "path"]).select(
+        "host", "path", "content", F.col("n").alias("shown"), F.col("m").cast("long").alias("pages"), ((1 - GAMMA) * presentation + GAMMA * content).alias("importance"))
 
 
 def extract(pages: DataFrame, threshold: float = THRESHOLD, least_pages: int = LEAST_PAGES) -> DataFrame:
@@ -202,8 +230,8 @@ def extract(pages: DataFrame, threshold: float = THRESHOLD, least_pages: int = L
     rest = without(pages, result)
     hosts = pages.select(*rest, quoted("html").alias("html"), host_of(quoted("url")).alias("__host"))
     tree = style_tree(hosts.select(F.col("__host").alias("host"), "html"))
-    low = stage(tree.where((F.col("pages") >= least_pages) & (F.col("importance") < threshold))
-                .groupBy(F.col("host").alias("__host")).agg(F.collect_set("path").alias("__low")), "html-low")
+    low = stage(tree.where((F.col("pages") >= least_pages) & (F.col("importance") < threshold) & (2 * F.col("shown") > F.col("pages")))
+                .groupBy(F.col("host").alias("__host")).agg(F.collect_set("content").alias("__low")), "html-low")
     joined = hosts.join(low, "__host", "left").drop("__host")
     columns = [c for c in joined.columns if c not in ("html", "__low")]
     fields = ", ".join(f"`{c.replace('`', '``')}` {joined.schema[c].dataType.simpleString()}" for c in columns)
@@ -213,7 +241,7 @@ def extract(pages: DataFrame, threshold: float = THRESHOLD, least_pages: int = L
             texts = []
             for page, cut in zip(batch.column("html").to_pylist(), batch.column("__low").to_pylist()):
                 gone = frozenset(cut or ())
-                texts.append("\n\n".join(text for path, _, text in blocks(page or "") if path not in gone))
+                texts.append("\n\n".join(text for path, _, text in blocks(page or "") if not gone or _content(path, text) not in gone))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())], [*columns, "text", "n_chars"])
 

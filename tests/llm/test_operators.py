@@ -96,6 +96,30 @@ def test_site_style_tree_cuts_template_branches(spark):
     assert text[99] == "Always the same line\n\nown"  # one page is no template
 
 
+def test_site_style_tree_cuts_notices_and_keeps_copies(spark):
+    table = "<article><table><tr><td>%s</td></tr></table></article>"
+    notice = "<body class='page-%d'><div%s><p>Same legal notice</p></div><div%s><p>%s</p><p>%s</p></div></body>"
+    rows = []
+    for i in range(12):
+        a, b = prose(i, 12), prose(100 + i, 9)
+        rows.append((i, f"http://plain.com/{i}", notice % (i, "", "", a, b), ""))  # a notice shares its path with the article
+        rows.append((100 + i, f"http://named.com/{i}", notice % (i, " class=legal", f" class='body post-{i}'", a, b), ""))
+        rows.append((200 + i, f"http://mixed.com/{i}", f"<div><p>{a}</p></div>", ""))
+    rows += [(300 + i, f"http://mixed.com/?copy={i}", table % "one page under many URLs", "") for i in range(7)]
+    rows += [(400 + i, f"http://copies.com/?copy={i}", table % "a host of copies", "") for i in range(7)]
+    rows += [(500 + i, f"http://article.com/{i}", f"<article><p>{prose(i, 9)}</p><p class=ftr>Always here</p></article>", "") for i in range(5)]
+    rows += [(600 + i, f"http://often.com/{i}", f"<p>{prose(i, 9)}</p>" + "<p>On some pages</p>" * (i < 40), "") for i in range(100)]
+    text = {r.page_id: r.text for r in html.extract(pages(spark, rows)).collect()}
+    squeeze = lambda i, n: " ".join(prose(i, n).split())
+    for i in range(12):
+        assert text[i] == text[100 + i] == squeeze(i, 12) + "\n\n" + squeeze(100 + i, 9)
+        assert text[200 + i] == squeeze(i, 12)
+    assert {text[300 + i] for i in range(7)} == {"one page under many URLs"}
+    assert {text[400 + i] for i in range(7)} == {"a host of copies"}
+    assert all(text[600 + i].endswith("On some pages") for i in range(40))
+    assert [text[500 + i] for i in range(5)] == [squeeze(i, 9) for i in range(5)]
+
+
 def test_html_is_linear_in_broken_markup():
     assert html.blocks('<a "' * 20_000) == []
     assert len(html.blocks("<div><p>x" * 5_000)) == 5_000
