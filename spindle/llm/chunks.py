@@ -5,9 +5,9 @@ cut falls where the hash's top bits are zero, at least `LEAST` and at most `MOST
 bytes after the last one and never inside a UTF-8 character. Cuts depend on
 nearby bytes only, so an insertion shifts its own chunk and the rest line up
 again. Chunks are compared by a 128-bit digest; the copy in the smallest
-(doc_id, place) stays and every other one is removed, if the removed chunks it
-adjoins make up `RUN` bytes or the whole text: a lone shared chunk is more often a
-common phrase than a copied passage.
+(doc_id, place) stays and every other one is removed. With a `run`, the removed
+chunks that adjoin must make up that many bytes or the whole text; the query sets
+none, as it would leave most lone shared chunks in every copy.
 
 Chunks that stand alone are ruled out first: digests are counted with partial
 sums, and only those seen twice go on, thinned by a bit table of fixed size and
@@ -200,4 +200,4 @@ def remove_spans(docs: DataFrame, spans: str = "removed", text: str = "text") ->
 
 
 def op10_chunks(spark: SparkSession, data_dir: str) -> DataFrame:
-    return chunk_repeats(table(spark, data_dir, "documents", "doc_id", "text"))
+    return chunk_repeats(table(spark, data_dir, "documents", "doc_id", "text"), run=0)

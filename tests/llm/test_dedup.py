@@ -8,7 +8,7 @@ import pytest
 
 from spindle.llm import chunks, neardup, suffixes
 from spindle.llm import textbytes as tb
-from tests.llm.conftest import documents, prose
+from tests.llm.conftest import documents, prose, write
 
 
 def removed_by_definition(texts, width):
@@ -99,6 +99,27 @@ def test_chunks_equal_definition(spark):
         assert r.n_chunks == len(own)
 
 
+def test_chunks_query_removes_lone_chunks(spark, tmp_path):
+    rows = [(100 * k + i, prose(300 + 100 * k + i, 40) + prose(700 + i, 25) + prose(500 + 100 * k + i, 40), "a") for k in (0, 1) for i in range(40)]
+    seen, want, lone = set(), {}, 0
+    for i, text, _ in rows:
+        raw = text.encode()
+        _, lo, hi = chunks.cuts(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        runs = []
+        for a, b in zip(lo.tolist(), hi.tolist()):
+            if raw[a:b] in seen:
+                if runs and runs[-1][1] == a:
+                    runs[-1][1] = b
+                else:
+                    runs.append([a, b])
+            seen.add(raw[a:b])
+        want[i] = runs
+        lone += sum(b - a < chunks.RUN for a, b in runs)
+    assert lone > 0
+    got = {r.doc_id: [[s.lo, s.hi] for s in r.removed] for r in chunks.op10_chunks(spark, write(tmp_path, rows)).collect()}
+    assert got == want
+
+
 def test_chunks_resist_insertions(spark):
     passage = prose(77, 120)
     df = spark.createDataFrame([(1, prose(1, 50) + passage + prose(2, 50)), (2, prose(3, 33) + passage + prose(4, 20))], "doc_id long, text string")
