@@ -43,7 +43,8 @@ TOP_K = 10
 TRAIN_FRACTION = 0.6
 SPLIT_SEED = 11
 SAMPLE_SEED = 29
-FIT_PARTITIONS = 2  # of the cached feature rows of the labelled documents, a few thousand here
+FIT_PARTITIONS = 2  # least number for the cached feature rows of the labelled documents
+FIT_ROWS = 20_000  # of them in a partition
 SLIDE_SECONDS = 60
 WINDOW_SECONDS = 300
 LOOKUP_USER = "Customer#000000001"
@@ -271,13 +272,17 @@ def sample_60(spark: SparkSession, d: str) -> DataFrame:
 _MODELS: dict = {}
 
 
+def _fit_partitions(rows: int) -> int:
+    return max(FIT_PARTITIONS, -(-rows // FIT_ROWS))
+
+
 def _model(spark: SparkSession, d: str, kind: str):
     """Fit once per (application, data dir, kind); queries share the model."""
     key = (spark.sparkContext.applicationId, d, kind)
     if key not in _MODELS:
         train, _ = _split(spark, d)
         pipe = models.svm_pipeline() if kind == "svm" else models.nb_pipeline()
-        _MODELS[key] = models.fit(pipe, train, FIT_PARTITIONS)
+        _MODELS[key] = models.fit(pipe, train, _fit_partitions(train.count()))
     return _MODELS[key]
 
 

@@ -13,7 +13,7 @@ from spindle.operators import models
 from spindle.operators.naive_bayes import nb_exact
 from spindle.operators.prefix import auc_rank_sum, global_cumsum
 from spindle.operators.setops import hash_split, subtract_keep_duplicates, union_all
-from spindle.plans import derived
+from spindle.plans import derived, queries
 from tests.conftest import SF001, SF01
 
 F1 = [(0.0, "Hi I heard about Spark"), (0.0, "I wish Java could use case classes"),
@@ -120,3 +120,13 @@ def test_hashing_tf_buckets_match_index_of(spark):
             want[j] = want.get(j, 0) + 1
         raw = r.rawFeatures
         assert {int(i): float(v) for i, v in zip(raw.indices, raw.values)} == {k: float(v) for k, v in want.items()}
+
+
+def test_fit_partitions_grow_with_the_training_rows(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(queries, "_MODELS", {})
+    monkeypatch.setattr(queries, "FIT_ROWS", 10, raising=False)
+    monkeypatch.setattr(queries.models, "fit", lambda pipe, train, partitions=None: asked.append((train.count(), partitions)))
+    queries._model(spark, SF001, "nb")
+    [(rows, partitions)] = asked
+    assert rows > 20 and partitions == math.ceil(rows / 10)
