@@ -49,19 +49,38 @@ PAGES = [
     (7, "http://e.com?u=http://f.net/", "text"), (8, "http://shop.example.com/de/x", "<p>a &amp; b</p>"),
     (9, "http://shop.example.com/en/x", "<p>a</p>"), (None, "ftp://spam.net/a", "<html>"), (10, "http://spam.net", ""),
 ]
+
+
+def conversations() -> list[tuple]:
+    """(conv_id, turn, role, text): nulls, gaps, equal turns, repeated rows, other
+    roles, a long conversation."""
+    r = random.Random(5)
+    roles = ["system", "user", "assistant", "user", "assistant", "tool", "", None, "unknown"]
+    texts = ["Yes.", "No", "  ", "", None, "Why? ", "Done!\n", "a. b", "é。", "Well ... yes"]
+    rows = [(c, t, r.choice(roles[:5] if c < 20 else roles), r.choice(texts) if r.random() < 0.4 else f"text {t} of {c}.")
+            for c in range(40) for t in range(r.randint(1, 9))]
+    rows += [(50, t, "user" if t % 2 else "assistant", prose(t, 5)) for t in range(300)]
+    rows += [(60, 3, "user", "same."), (60, 3, "user", "same."), (60, 3, "assistant", "same."), (60, None, "user", "first."), (60, 9, "user", "last.")]
+    rows += [(61, None, "user", "x."), (61, None, None, None), (None, 1, "user", "y."), (None, None, "assistant", "z."), (None, 1, "user", "y.")]
+    return rows + [(62, 0, "system", "Be kind."), (63, 1, "user", "x" * 100_000 + ".")]
+
+
 SCHEMAS = {
     "documents": [("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string()), ("n_chars", pa.int64()),
                   ("kept", pa.string()), ("Size", pa.int32()), ("n_words", pa.string())],
     "benchmark": [("item_id", pa.int64()), ("text", pa.string())],
     "pages": [("page_id", pa.int64()), ("url", pa.string()), ("html", pa.string()), ("host", pa.int32())],
     "labels": [("doc_id", pa.int64()), ("quality", pa.int32()), ("toxic", pa.int32())],
+    "conversations": [("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string()), ("Audit", pa.int32()),
+                      ("copies", pa.string())],
 }
 
 
-def write(folder, docs=(), items=(), pages=(), labels=()) -> str:
+def write(folder, docs=(), items=(), pages=(), labels=(), talks=()) -> str:
     rows = {
         "documents": [(i, t, "en", s, None if t is None else len(t), "yes", 7, "w") for i, t, s in docs],
         "benchmark": list(items), "pages": [(*p, 1) for p in pages], "labels": [(i, 1, x) for i, x in labels],
+        "conversations": [(*t, 3, "many") for t in talks],
     }
     for name, schema in SCHEMAS.items():
         cols = list(zip(*rows[name])) if rows[name] else [[]] * len(schema)
@@ -73,7 +92,7 @@ def write(folder, docs=(), items=(), pages=(), labels=()) -> str:
 @pytest.fixture(scope="session")
 def cases(tmp_path_factory):
     labels = [(i, int(i % 7 == 0)) for i in range(1, 25)] + [(None, 1), (3, None)]
-    return write(tmp_path_factory.mktemp("cases"), documents(), ITEMS, PAGES, labels)
+    return write(tmp_path_factory.mktemp("cases"), documents(), ITEMS, PAGES, labels, conversations())
 
 
 @pytest.fixture(scope="session")

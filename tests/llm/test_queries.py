@@ -41,5 +41,5 @@ def test_edge_cases_give_a_row_each(spark, cases, name, table):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
-    assert set(SCHEMAS) == {"documents", "benchmark", "pages", "labels"}
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
+    assert set(SCHEMAS) == {"documents", "benchmark", "pages", "labels", "conversations"}
