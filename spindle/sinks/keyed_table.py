@@ -19,11 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindle.operators.upsert import latest_per_key
+from spindle.sinks.commits import Commits
 
 
 class KeyedTable:
-    def __init__(self, path: str, key: str, order: list[str], values: list[str]):
+    def __init__(self, path: str, key: str, order: list[str], values: list[str], commits: Commits | None = None):
+        """With `commits`, reads take only batches that have a commit record."""
         self.path, self.key, self.order, self.values = path.rstrip("/"), key, list(order), list(values)
+        self.commits = commits
 
     def write_batch(self, batch: DataFrame, batch_id: int, extra_rejects: DataFrame | None = None) -> None:
         """Upsert one micro-batch. Rows with a null key, and `extra_rejects`
@@ -59,6 +62,9 @@ class KeyedTable:
         snapshots = [n for n in self._numbers(spark, "snapshots", "upto", committed=True) if upto is None or n <= upto]
         after = snapshots[-1] if snapshots else None
         batches = [n for n in self._numbers(spark, "data", "batch_id") if (after is None or n > after) and (upto is None or n <= upto)]
+        if self.commits is not None:
+            visible = set(self.commits.numbers(spark))
+            batches = [n for n in batches if n in visible]
         rows = [spark.read.parquet(f"{self.path}/snapshots/upto={after}")] if snapshots else []
         if batches or not snapshots:
             rows.append(spark.read.option("basePath", f"{self.path}/data")

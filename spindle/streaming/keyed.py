@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -24,13 +25,22 @@ def tweets_from_records(records: DataFrame, schema: T.StructType = TWEET_SCHEMA)
     return out.withColumn("parsed", parsed)
 
 
-def upsert_batch_fn(table: KeyedTable, audit_path: str | None = None):
+# Columns of the offset audit, beside batch_id.
+AUDIT_SCHEMA = "topic string, partition int, from_offset bigint, until_offset bigint, n_records bigint"
+
+
+def upsert_batch_fn(table: KeyedTable, audit_path: str | None = None, between: Callable[[int], None] | None = None):
     """`foreachBatch` function: upsert the batch, and record its offset ranges.
-    The batch is read and parsed once and kept until all three writes are done."""
+    The batch is read and parsed once and kept until all three writes are done.
+    If the table has commit records, the batch gets one after its last write, so
+    that table and audit show it together or not at all. `between` is called with
+    the batch number between the upsert and the audit (tests stop there)."""
     def fn(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             write(batch, batch_id)
+            if table.commits is not None:
+                table.commits.publish(batch.sparkSession, batch_id)
         finally:
             batch.unpersist()
 
@@ -40,6 +50,8 @@ def upsert_batch_fn(table: KeyedTable, audit_path: str | None = None):
                               extra_rejects=batch.filter(~F.col("parsed")).drop("parsed"))
         else:
             table.write_batch(batch, batch_id)
+        if between is not None:
+            between(batch_id)
         if audit_path:
             (offset_ranges(batch).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

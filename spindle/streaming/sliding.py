@@ -7,15 +7,24 @@ bucket rows are spread over the windows containing them (`window_time` of the
 bucket carries the event time forward). With a 5-minute window and 1-second
 slide a plain `window()` keeps 300 copies of every event in state; this keeps
 one row per key and second. Windows are emitted once the watermark passes
-their end. Watermarks need a zone-aware timestamp, so a zone-free event time
+their end. `sliding_changes_stream` keeps one state row per key and slide and no
+copies at all, by add and subtract. Watermarks need a zone-aware timestamp, so a zone-free event time
 is cast with the session time zone.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+# Fixed values.
+FRAME_ROWS = 100_000  # rows of an emitted frame
 
 
 def _event_time(df: DataFrame, ts: str) -> DataFrame:
@@ -39,3 +48,101 @@ def sliding_counts_stream(df: DataFrame, ts: str, key: str, size: str = "5 minut
             df = _event_time(df, ts).withWatermark(ts, watermark)
         out = df.groupBy(F.window(ts, size, slide).alias("w"), key).agg(F.count(F.lit(1)).alias("n"))
     return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), key, "n")
+
+
+class _Slides(StatefulProcessor):
+    """Add and subtract per key: `buckets` holds each bucket's count once, `open`
+    the next window to emit and the count of the one before it. All in slides."""
+
+    def __init__(self, key: str, kind: str, per_window: int, slide: int):
+        self.key, self.kind, self.per_window, self.slide = key, kind, per_window, slide
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.buckets = handle.getMapState("buckets", "bucket long", "n long")
+        self.open = handle.getValueState("open", "next long, n long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for pdf in rows:
+            for bucket, n in zip(pdf["bucket"], pdf["n"]):
+                self.buckets.updateValue((int(bucket),), (int(n),))
+        yield from self._advance(key, timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._advance(key, timerValues)
+
+    def _advance(self, key, timers) -> Iterator[pd.DataFrame]:
+        """Emit the windows that end by the watermark."""
+        held = sorted((b[0], n[0]) for b, n in self.buckets.iterator())
+        if not held:
+            return
+        at = np.array([b for b, _ in held], dtype=np.int64)
+        n = np.array([c for _, c in held], dtype=np.int64)
+        first, before = self.open.get() if self.open.exists() else (int(at[0]) - self.per_window + 1, 0)
+        last = timers.getCurrentWatermarkInMs() // (1000 * self.slide) - self.per_window  # start of the last final window
+        if last >= first:
+            # A bucket enters the window that it ends and leaves after the one that it starts.
+            moves = np.concatenate([at - self.per_window + 1, at + 1])
+            change = np.concatenate([n, -n])
+            now = (moves >= first) & (moves <= last)
+            order = np.argsort(moves[now], kind="stable")
+            moves, change = moves[now][order], change[now][order]
+            count = before + np.cumsum(change)
+            until = np.append(moves[1:], last + 1)
+            if before and (not len(moves) or moves[0] > first):
+                moves, count, until = np.insert(moves, 0, first), np.insert(count, 0, before), np.insert(until, 0, moves[0] if len(moves) else last + 1)
+            yield from self._rows(key, moves, until, count)
+            before = int(count[-1]) if len(count) else before
+            first = last + 1
+            for bucket in at[at < last].tolist():
+                self.buckets.removeKey((bucket,))
+            at = at[at >= last]
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if len(at):
+            self.open.update((first, before))
+            wake = max(first, int(at[0]) - self.per_window + 1) + self.per_window
+            self.handle.registerTimer(wake * self.slide * 1000)
+        else:
+            self.open.clear()
+
+    def _rows(self, key, moves: np.ndarray, until: np.ndarray, count: np.ndarray) -> Iterator[pd.DataFrame]:
+        """A row for each window from moves[i] to until[i] - 1, in bounded frames."""
+        kept = (count > 0) & (until > moves)
+        moves, until, count = moves[kept], until[kept], count[kept]
+        lengths = until - moves
+        ends = np.cumsum(lengths)
+        for lo in range(0, int(ends[-1]) if len(ends) else 0, FRAME_ROWS):
+            row = np.arange(lo, min(lo + FRAME_ROWS, int(ends[-1])))
+            run = np.searchsorted(ends, row, side="right")
+            start = moves[run] + row - (ends[run] - lengths[run])
+            yield pd.DataFrame({"start": start * self.slide, self.key: pd.Series([key[0]] * len(row), dtype="object" if self.kind == "string" else None),
+                                "n": count[run]})
+
+    def close(self) -> None:
+        pass
+
+
+def sliding_changes_stream(df: DataFrame, ts: str, key: str, size_seconds: int, slide_seconds: int,
+                           watermark: str = "10 minutes") -> DataFrame:
+    """(window_start, window_end, key, n) of every window that holds a row of the
+    key, emitted when the watermark passes its end.
+
+    Rows are counted in buckets of one slide by a streaming aggregate (with a
+    partial sum before the shuffle, so a hot key comes as a row per slide). The
+    windows are then kept by add and subtract in `transformWithStateInPandas`: the
+    state has one row per key and bucket, whatever the size and slide, and each
+    step costs the buckets that enter and leave. A timer wakes a key without new
+    rows at its next window's end. Needs the RocksDB state store. Rows without a
+    time are in no window; null keys are a key."""
+    if size_seconds % slide_seconds:
+        raise ValueError("size must be a multiple of slide")
+    kind = df.schema[key].dataType.simpleString()
+    zone_free = isinstance(df.schema[ts].dataType, T.TimestampNTZType)
+    events = _event_time(df.select(ts, key), ts).withWatermark(ts, watermark)
+    buckets = events.groupBy(F.window(ts, f"{slide_seconds} seconds").alias("b"), key).agg(F.count(F.lit(1)).alias("n"))
+    narrow = buckets.select(F.window_time("b").alias("t"), key, F.floor(F.unix_seconds("b.start") / slide_seconds).alias("bucket"), "n")
+    out = narrow.groupBy(key).transformWithStateInPandas(
+        _Slides(key, kind, size_seconds // slide_seconds, slide_seconds), f"start long, `{key}` {kind}, n long", "Append", "eventTime")
+    when = lambda c: F.timestamp_seconds(c).cast("timestamp_ntz" if zone_free else "timestamp")
+    return out.select(when(F.col("start")).alias("window_start"), when(F.col("start") + size_seconds).alias("window_end"), key, "n")
