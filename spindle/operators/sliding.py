@@ -6,9 +6,13 @@ tumbling buckets of one slide (partial aggregation, one row per key and bucket).
 A bucket then enters the running count at the first window that holds it and
 leaves it after the last one, so each bucket makes two change rows whatever the
 slide; the running sum of the changes of a key is the count of a window, and it
-holds until the next change. Windows between two changes are filled in last, on
-output. The running sum is one window per key; its rows are at most two per slide
-step, however many events the key has, so a hot key is as long as the time range.
+holds until the next change.
+
+A key is not one task: its changes are cut into ranges of time. The sum of the
+changes before a range enters it as one more change at its start (the carry, from
+a window over one row per key and range), so ranges are summed up, and the windows
+between two changes filled in, each on its own. A bucket stays for one `size`, so
+with ranges of at least that a count never spans a whole range without a change.
 Exact whenever `size` is a multiple of `slide`.
 """
 
@@ -19,9 +23,12 @@ from pyspark.sql import functions as F
 
 from spindle.functions.scalars import bucket_start
 
+# Fixed values.
+RANGE_SECONDS = 3600  # of a key's changes in a task, at least the size of a window
+
 
 def sliding_counts(df: DataFrame, ts: str, key: str | list[str], size_seconds: int, slide_seconds: int,
-                   value: str | None = None) -> DataFrame:
+                   value: str | None = None, range_seconds: int = RANGE_SECONDS) -> DataFrame:
     """Rows (window_start, window_end, key..., n[, sum_value]) for every window
     that holds a row of the key. Rows without a time are in no window."""
     keys = [key] if isinstance(key, str) else list(key)
@@ -35,11 +42,19 @@ def sliding_counts(df: DataFrame, ts: str, key: str | list[str], size_seconds: i
     changes = buckets.select(*keys, F.explode(F.array(
         F.struct((F.col("_bucket") - seconds(size_seconds - slide_seconds)).alias("_at"), *[F.col(s).alias(s) for s in sums]),
         F.struct((F.col("_bucket") + seconds(slide_seconds)).alias("_at"), *[(-F.col(s)).alias(s) for s in sums]))).alias("c"))
-    steps = changes.groupBy(*keys, F.col("c._at").alias("_at")).agg(*[F.sum(f"c.{s}").alias(s) for s in sums])
-    by_key = Window.partitionBy(*keys).orderBy("_at")
-    state = steps.select(*keys, "_at", F.lead("_at").over(by_key).alias("_until"),
-                         *[F.sum(x).over(by_key.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_run{x}") for x in sums])
-    until = state.where("_run_n > 0")  # every bucket leaves, so a change follows
+    length = -(-max(range_seconds, size_seconds) // slide_seconds) * slide_seconds
+    steps = changes.groupBy(*keys, F.col("c._at").alias("_at")).agg(*[F.sum(f"c.{s}").alias(s) for s in sums]) \
+        .withColumn("_range", bucket_start("_at", length))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = steps.groupBy(*keys, "_range").agg(*[F.sum(s).alias(s) for s in sums])
+    # A range without a change of its own can only follow one that ends empty, so every carry has a range.
+    carry = totals.select(*keys, F.col("_range").alias("_at"), *[F.sum(s).over(before).alias(s) for s in sums], "_range")
+    both = steps.unionByName(carry.where("_n IS NOT NULL"))
+    at_once = both.groupBy(*keys, "_range", "_at").agg(*[F.sum(s).alias(s) for s in sums])
+    within = Window.partitionBy(*keys, "_range").orderBy("_at")
+    state = at_once.select(*keys, "_at", F.coalesce(F.lead("_at").over(within), F.col("_range") + seconds(length)).alias("_until"),
+                           *[F.sum(x).over(within.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_run{x}") for x in sums])
+    until = state.where("_run_n > 0")
     start = F.explode(F.sequence(F.col("_at"), F.col("_until") - seconds(slide_seconds), seconds(slide_seconds)))
     out = until.select(start.alias("window_start"), *keys, F.col("_run_n").alias("n"),
                        *([F.col("_run_v").alias(f"sum_{value}")] if value else []))
