@@ -3,7 +3,7 @@ table at once."""
 
 from __future__ import annotations
 
-from spindle.plans.oracle import _SENSOR_BATCHES, ORACLE_SQL, _jsplit, _lines
+from spindle.plans.oracle import _SENSOR, _SENSOR_BATCHES, ORACLE_SQL, _jsplit, _lines
 
 # Batches of the stream runs: two hours of the day.
 _BY_HOUR = _SENSOR_BATCHES.replace("date_trunc('hour', ts) AS batch", "CAST(hour(ts) // 2 AS INTEGER) AS batch")
@@ -32,6 +32,18 @@ SELECT word, batch, CAST(sum(n) OVER (PARTITION BY word ORDER BY batch ROWS UNBO
     "stream_sliding_count": f"""
 SELECT * FROM ({ORACLE_SQL["sliding_count_1s"]})
 WHERE window_end <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '10 minutes' FROM events)""",
+    "stream_sessions": _SENSOR + """,
+w AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '10 minutes' AS mark FROM events),
+o AS (SELECT r.*, lag(ts) OVER k AS before, lag(is_marker) OVER k AS after_marker
+      FROM r, w WHERE ts <= mark WINDOW k AS (PARTITION BY session_id ORDER BY ts, event_id)),
+s AS (SELECT *, sum(CASE WHEN before IS NOT NULL AND (after_marker OR ts - before > INTERVAL '6 hours') THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY session_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS session_no FROM o),
+g AS (SELECT session_id, CAST(session_no AS BIGINT) AS session_no, min(ts) AS first_ts, max(ts) AS last_ts,
+             count(*) FILTER (NOT is_marker) AS n, CAST(coalesce(sum(heart_rate) FILTER (NOT is_marker), 0) AS BIGINT) AS total_hr,
+             CAST(coalesce(sum(calorie) FILTER (NOT is_marker), 0) AS BIGINT) AS total_cal, bool_or(is_marker) AS marked
+      FROM s GROUP BY session_id, session_no)
+SELECT session_id, session_no, first_ts, last_ts, n, total_hr, total_cal, CASE WHEN marked THEN 'marker' ELSE 'idle' END AS closed_by
+FROM g, w WHERE marked OR last_ts + INTERVAL '6 hours' < mark""",
     "stream_tweet_upsert": ORACLE_SQL["tweet_upsert_by_id"],
     "stream_offset_ranges": """
 SELECT CAST(hour(ts) // 2 AS INTEGER) AS batch, 'events' AS topic, CAST(user_id % 4 AS INTEGER) AS "partition",

@@ -25,6 +25,7 @@ from spindle.sources.tables import read_table
 from spindle.streaming.keyed import AUDIT_SCHEMA, tweets_from_records, upsert_batch_fn
 from spindle.streaming.replay import ROCKSDB, Run
 from spindle.streaming.sensor import sensor_state_stream
+from spindle.streaming.sessions import closed_sessions_stream
 from spindle.streaming.sliding import sliding_changes_stream
 from spindle.streaming.wordcount import running_word_counts
 
@@ -33,6 +34,7 @@ WORD_BATCHES = 12
 HOURS = 2      # of the day in a batch
 SLIDING_BATCH = 5 * derived.DAY
 WATERMARK = "10 minutes"
+IDLE = 6 * derived.HOUR
 STOP_AT = 5  # the micro-batch in which the upsert run stops between its writes
 TOTALS = "session_id bigint, total_hr bigint, total_cal bigint"
 AVERAGES = f"{TOTALS}, total_n bigint, avg_hr bigint, avg_cal bigint"
@@ -98,6 +100,17 @@ def stream_sliding_count(spark: SparkSession, d: str) -> DataFrame:
     return run.result("window_start timestamp_ntz, window_end timestamp_ntz, event_type string, n bigint", by_batch=False)
 
 
+def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """Sessions in event time, closed by a marker or by IDLE seconds of silence."""
+    readings = derived.sensor_readings(spark, d).select(
+        "session_id", "ts", "event_id", "heart_rate", "calorie", "is_marker", bucket_start("ts", SLIDING_BATCH).alias("day"))
+    run = _once(spark, d, "sessions", lambda: Run(
+        readings.where("ts IS NOT NULL"), "day", lambda rows: closed_sessions_stream(rows, IDLE, watermark=WATERMARK), "sessions", "append",
+        settings={"spark.sql.streaming.stateStore.providerClass": ROCKSDB}).all())
+    return run.result("session_id bigint, session_no bigint, first_ts timestamp_ntz, last_ts timestamp_ntz, n bigint, total_hr bigint, "
+                      "total_cal bigint, closed_by string", by_batch=False)
+
+
 class _StoppedBetweenWrites(Exception):
     pass
 
@@ -151,6 +164,7 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_sensor_state": stream_sensor_state,
     "stream_word_count": stream_word_count,
     "stream_sliding_count": stream_sliding_count,
+    "stream_sessions": stream_sessions,
     "stream_tweet_upsert": stream_tweet_upsert,
     "stream_offset_ranges": stream_offset_ranges,
 }

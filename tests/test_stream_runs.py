@@ -13,6 +13,7 @@ from spindle.sinks.commits import Commits
 from spindle.sinks.keyed_table import KeyedTable
 from spindle.streaming.keyed import AUDIT_SCHEMA, upsert_batch_fn
 from spindle.streaming.replay import ROCKSDB, Run
+from spindle.streaming.sessions import closed_sessions_stream
 from spindle.streaming.sliding import sliding_changes_stream
 
 RECORDS = "key string, offset bigint, topic string, partition int, v string, batch int"
@@ -89,3 +90,27 @@ def test_sliding_state_holds_a_row_for_each_slide(spark, scratch):
     last = start + dt.timedelta(seconds=9000 - 10)
     want = sliding_counts(df, "ts", "k", 120, 2).where(F.col("window_end") <= F.lit(last))
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.select(got.columns).collect()), key=str)
+
+
+def test_sessions_do_not_depend_on_the_cut_in_batches(spark, scratch):
+    """Rows that arrive out of order within the watermark's delay, in any batches."""
+    r = random.Random(8)
+    start = dt.datetime(2024, 1, 1)
+    rows = []
+    for key in (1, 2, None):
+        at = 0
+        for i in range(60):
+            at += r.choice([0, 5, 20, 200])
+            rows.append((key, start + dt.timedelta(seconds=at), len(rows), r.choice([None, 60, 70]), i, r.random() < 0.1, (at + r.randint(0, 50)) // 600))
+    rows.append((9, start + dt.timedelta(days=1), 10_000, 1, 1, False, 10_000))  # the watermark passes all others
+    df = spark.createDataFrame(rows, "session_id bigint, ts timestamp_ntz, event_id bigint, heart_rate int, calorie int, is_marker boolean, batch int")
+    schema = ("session_id bigint, session_no bigint, first_ts timestamp_ntz, last_ts timestamp_ntz, n bigint, total_hr bigint, total_cal bigint, "
+              "closed_by string")
+    found = []
+    for name, cut in (("many", df), ("one", df.withColumn("batch", F.lit(0)))):
+        run = Run(cut, "batch", lambda s: closed_sessions_stream(s, 100, watermark="60 seconds"), f"sessions_{name}", "append",
+                  settings={"spark.sql.streaming.stateStore.providerClass": ROCKSDB}, path=f"{scratch}/{name}").all()
+        found.append(sorted(map(tuple, run.result(schema, by_batch=False).collect()), key=str))
+    assert found[0] == found[1] and {s[0] for s in found[0]} == {1, 2, None}
+    assert sum(s[4] for s in found[0]) == sum(not m for *_, m, _ in rows) - 1
+    assert {s[7] for s in found[0]} == {"idle", "marker"}
