@@ -8,11 +8,10 @@ leaves it after the last one, so each bucket makes two change rows whatever the
 slide; the running sum of the changes of a key is the count of a window, and it
 holds until the next change.
 
-A key is not one task: its changes are cut into ranges of time. The sum of the
-changes before a range enters it as one more change at its start (the carry, from
-a window over one row per key and range), so ranges are summed up, and the windows
-between two changes filled in, each on its own. A bucket stays for one `size`, so
-with ranges of at least that a count never spans a whole range without a change.
+A key is not one task: its changes are cut into ranges of time of at least `size`,
+so what a bucket holds crosses at most one end of a range. There the bucket makes a
+third change row, which carries it into the next range. Ranges are then summed up,
+and the windows between two changes filled in, each on its own.
 Exact whenever `size` is a multiple of `slide`.
 """
 
@@ -38,21 +37,17 @@ def sliding_counts(df: DataFrame, ts: str, key: str | list[str], size_seconds: i
     sums = ["_n"] + (["_v"] if value else [])
     buckets = df.where(F.col(ts).isNotNull()).groupBy(*keys, bucket_start(ts, slide_seconds).alias("_bucket")).agg(*aggs)
     seconds = lambda n: F.make_dt_interval(secs=F.lit(n))
-    # The first window with a bucket starts size - slide before it, the first one without it at its end.
-    changes = buckets.select(*keys, F.explode(F.array(
-        F.struct((F.col("_bucket") - seconds(size_seconds - slide_seconds)).alias("_at"), *[F.col(s).alias(s) for s in sums]),
-        F.struct((F.col("_bucket") + seconds(slide_seconds)).alias("_at"), *[(-F.col(s)).alias(s) for s in sums]))).alias("c"))
     length = -(-max(range_seconds, size_seconds) // slide_seconds) * slide_seconds
-    steps = changes.groupBy(*keys, F.col("c._at").alias("_at")).agg(*[F.sum(f"c.{s}").alias(s) for s in sums]) \
-        .withColumn("_range", bucket_start("_at", length))
-    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    totals = steps.groupBy(*keys, "_range").agg(*[F.sum(s).alias(s) for s in sums])
-    # A range without a change of its own can only follow one that ends empty, so every carry has a range.
-    carry = totals.select(*keys, F.col("_range").alias("_at"), *[F.sum(s).over(before).alias(s) for s in sums], "_range")
-    both = steps.unionByName(carry.where("_n IS NOT NULL"))
-    at_once = both.groupBy(*keys, "_range", "_at").agg(*[F.sum(s).alias(s) for s in sums])
+    # The first window with a bucket starts size - slide before it, the first one without it at its end.
+    enter, leave = F.col("_bucket") - seconds(size_seconds - slide_seconds), F.col("_bucket") + seconds(slide_seconds)
+    change = lambda at, sign: F.struct(at.alias("_at"), *[(F.lit(sign) * F.col(s)).alias(s) for s in sums])
+    carried = F.when(bucket_start(enter, length) < bucket_start(leave, length), bucket_start(leave, length))
+    changes = buckets.select(*keys, F.explode(F.array(change(enter, 1), change(leave, -1), change(carried, 1))).alias("c")) \
+        .where("c._at IS NOT NULL")
+    steps = changes.groupBy(*keys, F.col("c._at").alias("_at"), bucket_start("c._at", length).alias("_range")) \
+        .agg(*[F.sum(f"c.{s}").alias(s) for s in sums])
     within = Window.partitionBy(*keys, "_range").orderBy("_at")
-    state = at_once.select(*keys, "_at", F.coalesce(F.lead("_at").over(within), F.col("_range") + seconds(length)).alias("_until"),
+    state = steps.select(*keys, "_at", F.coalesce(F.lead("_at").over(within), F.col("_range") + seconds(length)).alias("_until"),
                            *[F.sum(x).over(within.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_run{x}") for x in sums])
     until = state.where("_run_n > 0")
     start = F.explode(F.sequence(F.col("_at"), F.col("_until") - seconds(slide_seconds), seconds(slide_seconds)))
