@@ -60,6 +60,25 @@ def fit(pipeline: Pipeline, train: DataFrame, partitions: int | None = None) ->
         cached.unpersist()
 
 
+def fit_hashed(pipeline: Pipeline, train: DataFrame, partitions: int | None = None) -> PipelineModel:
+    """`fit` for rows that are hashed already: (label, rawFeatures). The stages up to
+    the hashing need no fit, so the result also takes texts. The cached rows keep
+    the partitions of the input unless `partitions` says otherwise."""
+    tokenizer, hashing, idf, classifier = pipeline.getStages()
+    weights = idf.fit(train)
+    rows = weights.transform(train).select("label", "features")
+    cached = (rows.repartition(partitions) if partitions else rows).cache()
+    try:
+        return PipelineModel(stages=[tokenizer, hashing, weights, classifier.fit(cached)])
+    finally:
+        cached.unpersist()
+
+
+def after_hashing(model: PipelineModel) -> PipelineModel:
+    """The part of a model that takes hashed rows."""
+    return PipelineModel(stages=model.stages[2:])
+
+
 def svm_scores(model: PipelineModel, test: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Raw margin per row (`score`), the threshold-free SVM output."""
     out = model.transform(test)

@@ -43,8 +43,6 @@ TOP_K = 10
 TRAIN_FRACTION = 0.6
 SPLIT_SEED = 11
 SAMPLE_SEED = 29
-FIT_PARTITIONS = 2  # least number for the cached feature rows of the labelled documents
-FIT_ROWS = 20_000  # of them in a partition
 SLIDE_SECONDS = 60
 WINDOW_SECONDS = 300
 LOOKUP_USER = "Customer#000000001"
@@ -270,22 +268,46 @@ def sample_60(spark: SparkSession, d: str) -> DataFrame:
 
 
 _MODELS: dict = {}
+_SHARED: dict = {}
 
 
-def _fit_partitions(rows: int) -> int:
-    return max(FIT_PARTITIONS, -(-rows // FIT_ROWS))
+def _hashed_docs(spark: SparkSession, d: str) -> DataFrame:
+    """(doc_id, rawFeatures) of every document, written once per application and
+    data folder: texts are tokenized once and never shuffled; all model queries
+    join, split and score these narrow rows."""
+    path = _shared_path(spark, "hashed", d)
+    if path not in _SHARED:
+        docs = read_table(spark, d, "documents", ["doc_id", "text"], spread_key="doc_id")
+        hashed = feat.hashed_tf(docs.withColumnRenamed("text", "sentence"), models.SVM_BUCKETS).select("doc_id", "rawFeatures")
+        hashed.write.mode("overwrite").parquet(path)
+        _SHARED[path] = hashed.schema
+    return spark.read.schema(_SHARED[path]).parquet(path)
+
+
+def _hashed_split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of the labelled documents as (doc_id, label, rawFeatures)."""
+    labels = read_table(spark, d, "labels").select("doc_id", binarize_label("quality").alias("label"))
+    return hash_split(_hashed_docs(spark, d).join(labels, "doc_id"), "doc_id", TRAIN_FRACTION, SPLIT_SEED)
 
 
 def _model(spark: SparkSession, d: str, kind: str):
     """Fit once per (application, data dir, kind); queries share the model."""
     key = (spark.sparkContext.applicationId, d, kind)
     if key not in _MODELS:
-        train, _ = _split(spark, d)
+        train, _ = _hashed_split(spark, d)
         pipe = models.svm_pipeline() if kind == "svm" else models.nb_pipeline()
-        _MODELS[key] = models.fit(pipe, train, _fit_partitions(train.count()))
+        _MODELS[key] = models.fit_hashed(pipe, train)
     return _MODELS[key]
 
 
+def _saved_svm(spark: SparkSession, d: str) -> PipelineModel:
+    """The SVM after a save and a load."""
+    ensure_checkpoint_dir(spark)
+    path = model_path(spark, f"svm-{spark.sparkContext.applicationId}-{_tag(d)}")
+    save_model(_model(spark, d, "svm"), path)
+    return PipelineModel.load(path)
+
+
 def hashing_tfidf(spark: SparkSession, d: str) -> DataFrame:
     train, _ = _split(spark, d)
     pm = feat.hashed_tfidf(train, models.SVM_BUCKETS)
@@ -294,8 +316,8 @@ def hashing_tfidf(spark: SparkSession, d: str) -> DataFrame:
 
 
 def svm_scores(spark: SparkSession, d: str) -> DataFrame:
-    _, test = _split(spark, d)
-    return models.svm_scores(_model(spark, d, "svm"), test, keep=["doc_id"])
+    _, test = _hashed_split(spark, d)
+    return models.svm_scores(models.after_hashing(_model(spark, d, "svm")), test, keep=["doc_id"])
 
 
 def svm_auc(spark: SparkSession, d: str) -> DataFrame:
@@ -350,28 +372,37 @@ def libsvm_tf_mass(spark: SparkSession, d: str) -> DataFrame:
 
 
 def svm_label_counts(spark: SparkSession, d: str) -> DataFrame:
-    """Scored rows by label, of the test split and of documents without a label."""
-    test = svm_scores(spark, d).where("score IS NOT NULL").select(F.col("label").cast("string").alias("label"))
-    new = score_new(spark, d).where("score IS NOT NULL AND prediction IN (0.0, 1.0)").select(F.lit("none").alias("label"))
-    return test.unionAll(new).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    """Scored rows by label, of the test split and of documents without a label. A row
+    counts only if its margin is on the side of its prediction and the saved and
+    loaded model gives the same margin as the fitted one."""
+    fitted, loaded = (models.after_hashing(m) for m in (_model(spark, d, "svm"), _saved_svm(spark, d)))
+    margin = vector_to_array("rawPrediction")[1]
+    sided = (margin > 0) == (F.col("prediction") == 1.0)
+
+    def agreeing(rows: DataFrame) -> DataFrame:
+        once = fitted.transform(rows).select("doc_id", "label", "rawFeatures", margin.alias("score"), sided.alias("sided"))
+        again = loaded.transform(once).select("label", (F.col("sided") & sided & (F.col("score") == margin)).alias("same"))
+        return again.where("same").select("label")
+
+    _, test = _hashed_split(spark, d)
+    labelled = agreeing(test).select(F.col("label").cast("string").alias("label"))
+    new = agreeing(_unlabelled(spark, d)).select(F.lit("none").alias("label"))
+    return labelled.unionAll(new).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
 def nb_accuracy(spark: SparkSession, d: str) -> DataFrame:
-    _, test = _split(spark, d)
-    return models.accuracy(models.predictions(_model(spark, d, "nb"), test))
+    _, test = _hashed_split(spark, d)
+    return models.accuracy(models.predictions(models.after_hashing(_model(spark, d, "nb")), test))
+
+
+def _unlabelled(spark: SparkSession, d: str) -> DataFrame:
+    labels = read_table(spark, d, "labels").select("doc_id")
+    return _hashed_docs(spark, d).join(labels, "doc_id", "left_anti").select("doc_id", F.lit(None).cast("double").alias("label"), "rawFeatures")
 
 
 def score_new(spark: SparkSession, d: str) -> DataFrame:
     """Documents without a label, scored by the saved-then-loaded SVM model."""
-    ensure_checkpoint_dir(spark)
-    path = model_path(spark, f"svm-{spark.sparkContext.applicationId}-{_tag(d)}")
-    save_model(_model(spark, d, "svm"), path)
-    loaded = PipelineModel.load(path)
-    docs = read_table(spark, d, "documents", ["doc_id", "text"], spread_key="doc_id")
-    labels = read_table(spark, d, "labels").select("doc_id")
-    new = docs.join(labels, "doc_id", "left_anti").select("doc_id", F.col("text").alias("sentence"),
-                                                         F.lit(None).cast("double").alias("label"))
-    out = loaded.transform(new)
+    out = models.after_hashing(_saved_svm(spark, d)).transform(_unlabelled(spark, d))
     return out.select("doc_id", vector_to_array("rawPrediction")[1].alias("score"), "prediction")
 
 

@@ -122,11 +122,21 @@ def test_hashing_tf_buckets_match_index_of(spark):
         assert {int(i): float(v) for i, v in zip(raw.indices, raw.values)} == {k: float(v) for k, v in want.items()}
 
 
-def test_fit_partitions_grow_with_the_training_rows(spark, monkeypatch):
-    asked = []
-    monkeypatch.setattr(queries, "_MODELS", {})
-    monkeypatch.setattr(queries, "FIT_ROWS", 10, raising=False)
-    monkeypatch.setattr(queries.models, "fit", lambda pipe, train, partitions=None: asked.append((train.count(), partitions)))
-    queries._model(spark, SF001, "nb")
-    [(rows, partitions)] = asked
-    assert rows > 20 and partitions == math.ceil(rows / 10)
+def test_fit_on_hashed_rows_equals_fit_on_texts(spark):
+    """The narrow path of the queries: the same model as from texts, any partitions."""
+    lab = derived.labelled_docs(spark, SF001)
+    train, test = hash_split(lab, "doc_id", 0.6, 11)
+    hashed = feat.hashed_tf(train, 65).select("label", "rawFeatures")
+    for pipe in (models.svm_pipeline(), models.nb_pipeline()):
+        text = models.predictions(models.fit(pipe, train), test, keep=["doc_id"])
+        for partitions in (None, 3):
+            model = models.fit_hashed(pipe, hashed, partitions)
+            assert sorted(models.predictions(model, test, keep=["doc_id"]).collect()) == sorted(text.collect())
+            rows = feat.hashed_tf(test, 65).select("doc_id", "label", "rawFeatures")
+            assert sorted(models.predictions(models.after_hashing(model), rows, keep=["doc_id"]).collect()) == sorted(text.collect())
+
+
+def test_model_queries_never_shuffle_texts(spark):
+    for name in ("svm_scores", "nb_accuracy", "score_new"):
+        plan = queries.QUERIES[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        assert "text" not in plan and "sentence" not in plan, name
