@@ -86,6 +86,11 @@ def hashed_tf(df: DataFrame, num_features: int = 65, text: str = "sentence") ->
     return HashingTF(inputCol="words", outputCol="rawFeatures", numFeatures=num_features).transform(words)
 
 
+def fitted_idf(train: DataFrame):
+    """IDF model of hashed rows (`rawFeatures` -> `features`)."""
+    return IDF(inputCol="rawFeatures", outputCol="features").fit(train)
+
+
 def hashed_tfidf(train: DataFrame, num_features: int = 65, text: str = "sentence"):
     """Fitted `PipelineModel` (tokenize, hash, IDF fitted on `train`)."""
     return Pipeline(stages=hashed_tfidf_stages(num_features, text)).fit(train)

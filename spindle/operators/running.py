@@ -114,3 +114,30 @@ def state_as_of(states: DataFrame, key: str | list[str], order: str, at=None) ->
     upto = states if at is None else states.filter(F.col(order) <= F.lit(at))
     return (upto.groupBy(*keys).agg(latest)
             .select(*keys, F.col(f"_s.{order}").alias(order), *[F.col(f"_s.{c}").alias(c) for c in rest]))
+
+
+def every_state(states: DataFrame, key: str, step: str, value: str, steps: DataFrame, chunk: int) -> DataFrame:
+    """(key, step, value) of every key at every step from its first state on: the
+    full output that a state stream repeats each batch.
+
+    `states` has a row where a key's value changes; `step` is a whole number and
+    `steps` the steps there are. A state holds until the next one, so it is a
+    stretch of steps. Stretches are cut at multiples of `chunk`: inside a chunk the
+    next state is found among the key's rows there, and a key's last state of a chunk
+    is carried into each chunk up to its next one, so no task expands a key's whole
+    history. Null steps are no batch and are left out."""
+    s = states.where(F.col(step).isNotNull()).select(F.col(key).alias("_key"), F.col(step).cast("bigint").alias("_at"), F.col(value).alias("_value")) \
+        .withColumn("_chunk", F.floor(F.col("_at") / chunk))
+    inside = Window.partitionBy("_key", "_chunk").orderBy("_at")
+    own = s.select("_key", "_at", F.coalesce(F.lead("_at").over(inside), (F.col("_chunk") + 1) * chunk).alias("_until"), "_value")
+    ends = s.groupBy("_key", "_chunk").agg(F.min("_at").alias("_first"), F.max(F.struct("_at", "_value"))["_value"].alias("_value"))
+    by_key = Window.partitionBy("_key").orderBy("_chunk")
+    most = steps.agg(F.floor(F.max(F.col(step).cast("bigint")) / chunk).alias("m")).scalar()
+    last = F.coalesce(F.lead("_chunk").over(by_key), most)
+    ends = ends.select("_key", "_value", "_chunk", last.alias("_last"), F.lead("_first").over(by_key).alias("_change"))
+    carried = ends.where("_last > _chunk").select("_key", "_value", "_last", "_change", F.explode(F.sequence(F.col("_chunk") + 1, F.col("_last"))).alias("_c"))
+    stop = F.when(F.col("_c") == F.col("_last"), F.coalesce("_change", (F.col("_c") + 1) * chunk)).otherwise((F.col("_c") + 1) * chunk)
+    stretches = own.unionByName(carried.select("_key", (F.col("_c") * chunk).alias("_at"), stop.alias("_until"), "_value")).where("_until > _at")
+    each = stretches.select("_key", "_value", F.explode(F.sequence(F.col("_at"), F.col("_until") - 1)).alias("_step"))
+    there = steps.where(F.col(step).isNotNull()).select(F.col(step).cast("bigint").alias("_step")).distinct()
+    return each.join(there, "_step").select(F.col("_key").alias(key), F.col("_step").alias(step), F.col("_value").alias(value))

@@ -76,7 +76,7 @@ idf AS (SELECT term, count(*) AS df, ln(((SELECT count(*) FROM documents) + 1.0)
 ORACLE_SQL: dict[str, str] = {
     "word_count": _WORDS,
     "word_count_top": f"SELECT * FROM ({_WORDS}) ORDER BY n DESC, word ASC LIMIT 10",
-    "word_count_sorted": f"SELECT n, word FROM ({_WORDS})",
+    "word_count_sorted": f"SELECT n, word, row_number() OVER (ORDER BY n DESC, word ASC) AS rank FROM ({_WORDS})",
     "word_count_running": """
 WITH per AS (SELECT event_type AS word, date_trunc('day', ts) AS batch, count(*) AS n FROM events GROUP BY 1, 2)
 SELECT word, batch, n AS batch_n,
@@ -229,6 +229,12 @@ WITH l AS (SELECT turn AS batch, unnest({_lines('text')}) AS line FROM conversat
 w AS (SELECT batch, unnest({_jsplit('line', "' '")}) AS word FROM l),
 per AS (SELECT word, batch, count(*) AS n FROM w GROUP BY word, batch)
 SELECT word, batch, n AS batch_n, CAST(sum(n) OVER (PARTITION BY word ORDER BY batch ROWS UNBOUNDED PRECEDING) AS BIGINT) AS n FROM per""",
+    "word_count_every_turn": f"""
+WITH l AS (SELECT turn AS batch, unnest({_lines('text')}) AS line FROM conversations),
+w AS (SELECT batch, unnest({_jsplit('line', "' '")}) AS word FROM l),
+per AS (SELECT word, batch, count(*) AS n FROM w GROUP BY word, batch)
+SELECT word, b.batch, CAST(sum(n) AS BIGINT) AS n
+FROM (SELECT DISTINCT turn AS batch FROM conversations) b JOIN per ON per.batch <= b.batch GROUP BY word, b.batch""",
     "sensor_lines": """
 WITH h AS (SELECT *, md5(CAST(user_id AS VARCHAR)) AS h FROM events),
 u AS (SELECT *, concat_ws('-', substr(h, 1, 8), substr(h, 9, 4), substr(h, 13, 4), substr(h, 17, 4), substr(h, 21, 12)) AS uuid FROM h),
@@ -254,3 +260,49 @@ ORACLE_SQL["linear_score_auc"] = ORACLE_SQL["auc_by_rank"].replace(
 ORACLE_SQL["nb_exact_accuracy"] = f"""
 SELECT round(count(*) FILTER (label = prediction) / count(*), 6) AS accuracy, count(*) FILTER (label = prediction) AS n_correct,
        count(*) AS n_test FROM ({ORACLE_SQL["nb_predict_exact"]})"""
+
+# Murmur3 (32 bits, seed 42) of the UTF-8 bytes of a term, and its bucket.
+_MUL = lambda a, b: f"(({a}) * {b}::UBIGINT % 4294967296::UBIGINT)"
+_ROTATE = lambda x, r: f"((({x}) << {r}) % 4294967296::UBIGINT + (({x}) >> {32 - r}))"
+_SCRAMBLE = lambda k: _MUL(_ROTATE(_MUL(k, 3432918353), 15), 461845907)
+_BUCKETS = 65
+
+_HASHED = f"""
+words AS (SELECT doc_id, label, is_train, unnest(toks) AS term FROM lab),
+terms AS (SELECT term, list_transform(range(len(hex(term)) // 2), lambda i: ('0x' || substr(hex(term), 2 * i + 1, 2))::INTEGER::UBIGINT) AS b
+          FROM (SELECT DISTINCT term FROM words)),
+blocks AS (SELECT term, b, len(b) AS n, list_transform(range(len(b) // 4), lambda i:
+             b[4 * i + 1] + b[4 * i + 2] * 256 + b[4 * i + 3] * 65536 + b[4 * i + 4] * 16777216) AS k FROM terms),
+body AS (SELECT term, b, n, list_reduce(list_prepend(42::UBIGINT, list_transform(k, lambda x: {_SCRAMBLE('x')})),
+             lambda h, x: ({_ROTATE('xor(h, x)', 13)} * 5 + 3864292196::UBIGINT) % 4294967296::UBIGINT) AS h FROM blocks),
+tail AS (SELECT term, n, xor(h, {_SCRAMBLE("(CASE WHEN n % 4 >= 1 THEN b[n - n % 4 + 1] ELSE 0::UBIGINT END"
+                                         " + CASE WHEN n % 4 >= 2 THEN b[n - n % 4 + 2] * 256 ELSE 0::UBIGINT END"
+                                         " + CASE WHEN n % 4 >= 3 THEN b[n - n % 4 + 3] * 65536 ELSE 0::UBIGINT END)")}) AS h FROM body),
+m1 AS (SELECT term, xor(h, n::UBIGINT) AS h FROM tail),
+m2 AS (SELECT term, {_MUL('xor(h, h >> 16)', 2246822507)} AS h FROM m1),
+m3 AS (SELECT term, {_MUL('xor(h, h >> 13)', 3266489909)} AS h FROM m2),
+m4 AS (SELECT term, xor(h, h >> 16)::BIGINT AS h FROM m3),
+hashed AS (SELECT term, CAST(((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) % {_BUCKETS} + {_BUCKETS}) % {_BUCKETS} AS INTEGER) AS bucket FROM m4),
+cells AS (SELECT doc_id, label, is_train, bucket, count(*) AS tf FROM words JOIN hashed USING (term) GROUP BY ALL),
+idf AS (SELECT b.bucket, ln(((SELECT count(*) FROM lab WHERE is_train) + 1.0) / (count(c.doc_id) + 1.0)) AS idf
+        FROM (SELECT DISTINCT bucket FROM cells) b LEFT JOIN cells c ON c.bucket = b.bucket AND c.is_train GROUP BY b.bucket)"""
+
+_CELLS = f"""WITH lab AS (SELECT doc_id, label, {_SPLIT} AS is_train, {_tokens('sentence')} AS toks FROM ({_LABELLED})), {_HASHED}"""
+
+ORACLE_SQL["hashing_tfidf_cells"] = _CELLS + """
+SELECT doc_id, label, bucket, tf, round(tf * idf, 6) AS tfidf FROM cells JOIN idf USING (bucket)"""
+ORACLE_SQL["libsvm_cells"] = _CELLS + """
+SELECT doc_id, bucket, round(tf * idf, 6) AS tfidf FROM cells JOIN idf USING (bucket) WHERE tf * idf <> 0"""
+
+# Five subgradient steps over the training cells, from weights of 0.
+_STEP = """,
+g{t} AS (SELECT x.doc_id, x.copy, sum(x.v * w.w) AS margin FROM x JOIN w{last} w USING (bucket) GROUP BY x.doc_id, x.copy),
+w{t} AS (SELECT w.bucket, w.w * (1 - 0.01::DOUBLE / sqrt({t}::DOUBLE)) + coalesce(s.s, 0) / (SELECT n FROM size) / sqrt({t}::DOUBLE) AS w
+         FROM w{last} w LEFT JOIN (SELECT x.bucket, sum((2 * label - 1) * x.v) AS s FROM x JOIN g{t} USING (doc_id, copy)
+                                   WHERE (2 * label - 1) * margin < 1 GROUP BY x.bucket) s USING (bucket))"""
+ORACLE_SQL["svm_step_weights"] = _CELLS + """,
+x AS (SELECT doc_id, 1 AS copy, label, bucket, tf * idf AS v FROM cells JOIN idf USING (bucket) WHERE is_train),
+size AS (SELECT count(*)::DOUBLE AS n FROM lab WHERE is_train),
+w0 AS (SELECT CAST(unnest(range(65)) AS INTEGER) AS bucket, 0.0::DOUBLE AS w)""" + "".join(
+    _STEP.format(t=t, last=t - 1) for t in range(1, 6)) + """
+SELECT bucket, round(w, 6) AS weight FROM w5"""

@@ -8,6 +8,7 @@ across engines; all arithmetic before that runs at full precision.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
@@ -23,12 +24,14 @@ from spindle.operators.lookup import roles_of_user
 from spindle.operators.naive_bayes import nb_exact
 from spindle.operators.offsets import offset_ranges
 from spindle.operators.prefix import auc_rank_sum
-from spindle.operators.running import running_totals, state_as_of
+from spindle.operators.ranking import ranked
+from spindle.operators.running import every_state, running_totals, state_as_of
 from spindle.operators.sessions import marker_sessions
 from spindle.operators.setops import hash_bucket, hash_split, subtract_keep_duplicates, union_all
 from spindle.operators.sliding import sliding_counts
+from spindle.operators.subgradient import svm_weights
 from spindle.operators.upsert import latest_per_key, to_cells
-from spindle.operators.wordcount import line_words, sorted_counts, text_to_lines, top_words, word_counts
+from spindle.operators.wordcount import line_words, text_to_lines, top_words, word_counts
 from spindle.plans import derived
 from spindle.sources.json import TWEET_SCHEMA, project_json
 from spindle.sources.kafka import kafka_value
@@ -43,6 +46,7 @@ TOP_K = 10
 TRAIN_FRACTION = 0.6
 SPLIT_SEED = 11
 SAMPLE_SEED = 29
+STEPS = 5  # of the SVM by aggregates
 SLIDE_SECONDS = 60
 WINDOW_SECONDS = 300
 LOOKUP_USER = "Customer#000000001"
@@ -76,9 +80,10 @@ def word_count_top(spark: SparkSession, d: str) -> DataFrame:
 
 
 def word_count_sorted(spark: SparkSession, d: str) -> DataFrame:
-    """Every word as (n, word), sorted by count descending (range-partitioned
+    """Every word as (n, word, rank), sorted by count descending (range-partitioned
     global sort), the per-batch output of the running word count."""
-    return sorted_counts(word_count(spark, d))
+    counts = ranked(word_count(spark, d), [F.col("n").desc(), F.col("word").asc()], _shared_path(spark, "ranked-words", d))
+    return counts.select("n", "word", "rank").orderBy("rank")
 
 
 def text_file_words(spark: SparkSession, d: str) -> DataFrame:
@@ -99,6 +104,14 @@ def word_count_running_turns(spark: SparkSession, d: str) -> DataFrame:
     return out.select("word", "batch", F.col("n").alias("batch_n"), F.col("total_n").alias("n"))
 
 
+def word_count_every_turn(spark: SparkSession, d: str) -> DataFrame:
+    """Every word seen so far and its count at every turn (what the state stream
+    prints each batch, untouched words included)."""
+    turns = read_table(spark, d, "conversations").select(F.col("turn").alias("batch"))
+    states = word_count_running_turns(spark, d)
+    return every_state(states, "word", "batch", "n", turns, derived.TURN_CHUNK)
+
+
 def sensor_lines(spark: SparkSession, d: str) -> DataFrame:
     """Sensor lines parsed from text: readings of good lines, and the bad ones kept
     with their line."""
@@ -315,6 +328,40 @@ def hashing_tfidf(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", "label", vector_to_array("features").alias("features"))
 
 
+def _tfidf_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Labelled documents with rawFeatures and features, the IDF fitted on the
+    training part."""
+    train, _ = _hashed_split(spark, d)
+    labels = read_table(spark, d, "labels").select("doc_id", binarize_label("quality").alias("label"))
+    return feat.fitted_idf(train).transform(_hashed_docs(spark, d).join(labels, "doc_id"))
+
+
+def hashing_tfidf_cells(spark: SparkSession, d: str) -> DataFrame:
+    """The hashed TF-IDF features as rows (doc_id, label, bucket, tf, tfidf), one for
+    each bucket that a document fills."""
+    cells = F.arrays_zip(vector_to_array("rawFeatures").alias("tf"), vector_to_array("features").alias("tfidf"))
+    out = _tfidf_rows(spark, d).select("doc_id", "label", F.posexplode(cells).alias("bucket", "c"))
+    return out.where("c.tf > 0").select("doc_id", "label", "bucket", F.col("c.tf").cast("bigint").alias("tf"), _r(F.col("c.tfidf")).alias("tfidf"))
+
+
+def libsvm_cells(spark: SparkSession, d: str) -> DataFrame:
+    """The same features after a LIBSVM round trip (the id travels as the label)."""
+    path = f"{_shared_path(spark, 'libsvm-cells', d)}/{uuid.uuid4().hex[:12]}"
+    write_libsvm(_tfidf_rows(spark, d).select(F.col("doc_id").cast("double").alias("label"), "features"), path)
+    out = read_libsvm(spark, path).select(F.col("label").cast("bigint").alias("doc_id"), F.posexplode(vector_to_array("features")).alias("bucket", "x"))
+    return out.where("x != 0").select("doc_id", "bucket", _r(F.col("x")).alias("tfidf"))
+
+
+def svm_step_weights(spark: SparkSession, d: str) -> DataFrame:
+    """The SVM's weights after STEPS subgradient steps, each an aggregate over the
+    training rows."""
+    train, _ = _hashed_split(spark, d)
+    rows = feat.fitted_idf(train).transform(train).select("label", vector_to_array("features").alias("features"))
+    path = f"{_shared_path(spark, 'svm-steps', d)}/{uuid.uuid4().hex[:12]}"
+    out = svm_weights(rows, models.SVM_BUCKETS, STEPS, path, reg_param=models.SVM_REG)
+    return out.select("bucket", _r(F.col("weight")).alias("weight"))
+
+
 def svm_scores(spark: SparkSession, d: str) -> DataFrame:
     _, test = _hashed_split(spark, d)
     return models.svm_scores(models.after_hashing(_model(spark, d, "svm")), test, keep=["doc_id"])
@@ -466,6 +513,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hashing_tf_mass": hashing_tf_mass,
     "libsvm_tf_mass": libsvm_tf_mass,
     "svm_label_counts": svm_label_counts,
+    "word_count_every_turn": word_count_every_turn,
+    "hashing_tfidf_cells": hashing_tfidf_cells,
+    "libsvm_cells": libsvm_cells,
+    "svm_step_weights": svm_step_weights,
 }
 
 
