@@ -12,16 +12,22 @@ one page here, so copies of a page under many URLs are no template.
   the m pages: 0 if every page repeats it, 1 if one page has it.
 
 A content's importance under its path is (1 - GAMMA) * presentation + GAMMA *
-content. Contents below `THRESHOLD` that most of a path's pages show, under paths
-that at least `LEAST_PAGES` pages share, are template and are cut from each page (on
-a large host, a line on a quarter of the pages has a low importance too, but may
-well be article text); a branch goes when all its contents
-do, and a notice goes from among the paragraphs it shares a path with. Elements that are no
-article by their tag, role, or a whole class or id (menus, headers, footers,
-forms, adverts, comments, ...) never enter the tree. A class or id that only
-contains such a word ("no-sidebar") says nothing, nor does any on html, body, main
-or article; text outside an article or main element is read like any other, and
-the tree decides.
+content. Two things are template. A branch outside the article or main element goes
+as a whole if the mean importance of what its blocks show is below `THRESHOLD`, on any host with
+two different pages or more. A single content goes from among the others of its path (a notice
+between paragraphs) if most of the path's pages show it and its importance is below
+`THRESHOLD` with `PRIOR` pages added that do not show it: few pages are little
+evidence, and a passage that two articles share is no notice. What would be cut from
+a page must be less than half of its text; more is a near copy of another page.
+
+Elements that are no article by tag, role or the hidden attribute (menus, footers,
+forms, ...) never enter the tree; an article's own header does. A class or id says
+so by its last word, numbers and structural words (list, box, area, ...) aside
+("reader-comments", "comments-section-12"; not "no-sidebar" or "header-fixed"), but
+not on html, body, main or article, not on inline elements, whose words belong to
+their sentence, and not where the element holds most of the page's text (reader
+comments: all of it) and no article or main element beside it has any. Text outside an article or main element is read like any
+other, and the tree decides.
 
 A page is shuffled once, as hashes by its digest; the tree is kept as counts by
 (host, path, value), summed before the shuffle, so a large host is no large group;
@@ -41,7 +47,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindle.llm.common import quoted, stage, table, without
@@ -50,7 +56,7 @@ from spindle.llm.urls import host_of
 # Fixed values.
 GAMMA = 0.9
 THRESHOLD = 0.2
-LEAST_PAGES = 5
+PRIOR = 2.0  # unseen pages of a path
 LONGEST_PATH = 300  # deeper paths go by their hash
 DROPPED_TAGS = frozenset((
     "script", "style", "noscript", "template", "head", "title", "nav", "header", "footer", "aside", "form", "button",
@@ -64,8 +70,8 @@ INLINE_TAGS = frozenset((
     "var", "wbr"))
 DROPPED_NAMES = frozenset((
     "ad", "ads", "advert", "adverts", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "cookie",
-    "cookies", "disclaimer", "footer", "header", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice",
-    "pager", "pagination", "popup", "promo", "related", "replies", "share", "sharing", "sidebar", "social", "sponsor", "sponsored",
+    "cookiebanner", "cookiebar", "cookies", "disclaimer", "disqus", "footer", "header", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice",
+    "pager", "pagination", "popup", "promo", "related", "replies", "respond", "share", "sharing", "sidebar", "social", "sponsor", "sponsored",
     "subscribe", "toolbar"))
 DROPPED_COMPOUNDS = frozenset((
     "ad-banner", "ad-box", "ad-container", "ad-slot", "ad-unit", "ad-wrapper", "adsbygoogle", "banner-ad", "comment-form",
@@ -76,6 +82,13 @@ DROPPED_COMPOUNDS = frozenset((
     "related-posts", "share-bar", "share-buttons", "share-links", "sharing-buttons", "site-footer", "site-header", "site-nav",
     "site-navigation", "social-buttons", "social-icons", "social-links", "social-share", "top-nav"))
 KEPT_TAGS = frozenset(("html", "body", "main", "article"))  # never dropped by class or id
+COMMENT_NAMES = frozenset(("comment", "comments", "disqus", "replies", "respond"))
+COMMENTS = "comments"
+# Words that say little at the end of a name, and words that turn it round.
+STRUCTURE = frozenset((
+    "area", "bar", "block", "box", "container", "group", "inner", "item", "list", "outer", "panel", "section", "slot", "thread", "unit",
+    "widget", "wrap", "wrapper"))
+MODIFIERS = frozenset(("free", "has", "hide", "no", "non", "with", "without"))
 DROPPED_ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu"))
 CLOSED_BY_SIBLING = {"p": None, "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
                      "th": ("td", "th"), "option": ("option",)}
@@ -85,20 +98,40 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"<]{0,2000}\"|'[^'<]{0,2000}')*|[^<>]*)(?:>|\Z|(?=<))", re.S | re.I)
 _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _SPACE = re.compile(r"\s+")
+_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_IN_ARTICLE = re.compile(r"(?:^|/)(?:article|main)(?:[.#/]|$)")
 _DIGITS = re.compile(r"[0-9]+")
 
 
-def _drops(tag: str, attributes: str) -> bool:
+def _no_article(tag: str, attributes: str, in_article: bool) -> bool:
+    """Whether the element is no article by its tag, role or the hidden attribute."""
     if tag in DROPPED_TAGS:
+        return not (tag == "header" and in_article)
+    if not attributes:
+        return False
+    if any(name.lower() == "role" and (a or b or c).lower().strip() in DROPPED_ROLES for name, a, b, c in _ATTRIBUTE.findall(attributes)):
         return True
-    for name, a, b, c in _ATTRIBUTE.findall(attributes) if attributes else ():
-        value = (a or b or c).lower()
+    return "hidden" in attributes.lower().split()
+
+
+def _named(tag: str, attributes: str, in_article: bool) -> str:
+    """The name in its class or id that says the element is no article, or ""."""
+    if not attributes or tag in KEPT_TAGS:
+        return ""
+    for name, a, b, c in _ATTRIBUTE.findall(attributes):
         if name.lower() == "role":
-            if value.strip() in DROPPED_ROLES:
-                return True
-        elif tag not in KEPT_TAGS and any(w in DROPPED_NAMES or w.replace("_", "-") in DROPPED_COMPOUNDS for w in value.split()):
-            return True
-    return "hidden" in attributes.lower().split() if attributes else False
+            continue
+        for value in (a or b or c).split():
+            words = [w.lower() for w in _WORDS.findall(value)]
+            if not words or MODIFIERS.intersection(words):
+                continue
+            if "-".join(words) in DROPPED_COMPOUNDS:
+                return COMMENTS if COMMENT_NAMES.intersection(words) else "-".join(words)
+            while len(words) > 1 and words[-1] in STRUCTURE:
+                words.pop()
+            if words[-1] in DROPPED_NAMES and not (in_article and words[-1] == "header"):
+                return COMMENTS if words[-1] in COMMENT_NAMES else words[-1]
+    return ""
 
 
 def _node(tag: str, attributes: str) -> str:
@@ -111,8 +144,9 @@ def _node(tag: str, attributes: str) -> str:
 
 def blocks(page: str) -> list[tuple[str, str, str]]:
     """(path, inline tags, text) of the blocks of a page, in page order."""
-    found: list[tuple[str, str, str]] = []
-    open_: list[tuple[str, str, bool]] = []  # tag, path, dropped
+    found: list[tuple[str, str, str, tuple[int, ...]]] = []
+    open_: list[tuple[str, str, bool, tuple[int, ...]]] = []  # tag, path, dropped, named elements that it is in
+    names: list[tuple[str, bool]] = []  # of the named elements, and whether they are in an article
     depth: Counter = Counter()  # open elements by tag
     pieces: list[str] = []
     inline: list[str] = []
@@ -121,7 +155,7 @@ def blocks(page: str) -> list[tuple[str, str, str]]:
     def flush() -> None:
         text = _SPACE.sub(" ", entities.unescape("".join(pieces))).strip() if pieces else ""
         if text:
-            found.append((open_[-1][1] if open_ else "", " ".join(inline), text))
+            found.append((open_[-1][1] if open_ else "", " ".join(inline), text, open_[-1][3] if open_ else ()))
         pieces.clear()
         inline.clear()
 
@@ -133,9 +167,10 @@ def blocks(page: str) -> list[tuple[str, str, str]]:
         if tag is None:
             continue
         tag = tag.lower()
-        if tag in INLINE_TAGS and not (attributes and not close and _drops(tag, attributes)):
+        in_article = depth["article"] + depth["main"] > 0
+        if tag in INLINE_TAGS and not (attributes and not close and _no_article(tag, attributes, in_article)):
             if close:
-                if open_ and open_[-1][0] == tag:  # an inline element that was dropped by its name
+                if open_ and open_[-1][0] == tag:  # an inline element that was dropped
                     depth[open_.pop()[0]] -= 1
                 continue
             if not (open_ and open_[-1][2]):
@@ -166,11 +201,30 @@ def blocks(page: str) -> list[tuple[str, str, str]]:
         if len(path) > LONGEST_PATH:
             path = f"#{_value(path):x}"
         depth[tag] += 1
-        open_.append((tag, path, dropped or _drops(tag, attributes)))
+        within = open_[-1][3] if open_ else ()
+        if not dropped and tag not in INLINE_TAGS and (name := _named(tag, attributes, in_article)):
+            names.append((name, in_article))
+            within = (*within, len(names) - 1)
+        open_.append((tag, path, dropped or _no_article(tag, attributes, in_article), within))
     if at < len(page) and not (open_ and open_[-1][2]):
         pieces.append(page[at:])
     flush()
-    return found
+    return _without_named(found, names)
+
+
+def _without_named(found: list[tuple[str, str, str, tuple[int, ...]]], names: list[tuple[str, bool]]) -> list[tuple[str, str, str]]:
+    """The blocks outside of named elements. An element that holds most of the text
+    (comments: all of it) is not one of these, unless it stands beside an article or
+    main element that has text."""
+    held = [0] * len(names)
+    for *_, text, within in found:
+        for element in within:
+            held[element] += len(text)
+    total = sum(len(text) for _, _, text, _ in found)
+    article = any(not within and _IN_ARTICLE.search(path) for path, _, _, within in found) if names else False
+    gone = {e for e, (name, inside) in enumerate(names)
+            if (held[e] < total if name == COMMENTS else 2 * held[e] <= total or (article and not inside))}
+    return [(path, inline, text) for path, inline, text, within in found if not gone.intersection(within)]
 
 
 def _value(text: str) -> int:
@@ -185,9 +239,11 @@ PAGE, PRESENTATION, CONTENT = 0, 1, 2
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """pages (host, html) -> (host, path, content, shown, pages, importance), for
-    each content that two or more different pages show under a path; `shown` is the
-    number of these, `pages` that of all different pages with the path."""
+    """pages (host, html) -> (host, path, content, shown, pages, importance, branch),
+    for each content under a path that two or more different pages have; `shown` is
+    how many show it, `pages` how many have the path, `importance` that of the
+    content with `PRIOR` unseen pages, `branch` the mean of what the path's blocks
+    show, without."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_type = pa.list_(pa.struct([("path", pa.string()), ("kind", pa.int32()), ("value", pa.int64())]))
@@ -217,21 +273,38 @@ def style_tree(pages: DataFrame) -> DataFrame:
     sums = counts.where(F.col("kind") != CONTENT).groupBy("host", "path").agg(
         of(PAGE, n).alias("m"), of(PRESENTATION, n).alias("shows"), of(PRESENTATION, n * F.log(n)).alias("show_logs")).where("m > 1")
     presentation = F.least(F.lit(1.0), (F.log("shows") - F.col("show_logs") / F.col("shows")) / F.log("m"))
-    content = 1.0 - F.log(n) / F.log("m")
-    repeated = counts.where((F.col("kind") == CONTENT) & (F.col("n") > 1)).select("host", "path", F.col("value").alias("content"), "n")
-    return repeated.join(sums, ["host", "path"]).select(
-        "host", "path", "content", F.col("n").alias("shown"), F.col("m").cast("long").alias("pages"), ((1 - GAMMA) * presentation + GAMMA * content).alias("importance"))
+    whole = lambda content: (1 - GAMMA) * F.col("presentation") + GAMMA * content
+    contents = counts.where(F.col("kind") == CONTENT).select("host", "path", F.col("value").alias("content"), "n")
+    plain = 1.0 - F.log(n) / F.log("m")
+    known = contents.join(sums.select("host", "path", "m", presentation.alias("presentation")), ["host", "path"])
+    branch = known.groupBy("host", "path").agg((F.sum(n * whole(plain)) / F.sum(n)).alias("branch"))
+    return known.where("n > 1").join(branch, ["host", "path"]).select(
+        "host", "path", "content", F.col("n").alias("shown"), F.col("m").cast("long").alias("pages"),
+        whole(1.0 - F.log(n) / F.log(F.col("m") + PRIOR)).alias("importance"), "branch")
+
+
+def template(tree: DataFrame, threshold: float = THRESHOLD) -> Column:
+    """Whether a row of the tree is template: by its branch (outside of articles),
+    or by itself."""
+    outside = ~F.col("path").rlike(_IN_ARTICLE.pattern) & ~F.col("path").startswith("#")
+    return (outside & (F.col("branch") < threshold)) | ((F.col("importance") < threshold) & (2 * F.col("shown") > F.col("pages")))
+
+
+def _cut(found: list[tuple[str, str, str]], gone: frozenset) -> list[str]:
+    """The texts of a page without its template, unless that were most of it."""
+    kept = [text for path, _, text in found if _content(path, text) not in gone] if gone else [text for _, _, text in found]
+    return kept if 2 * sum(map(len, kept)) > sum(len(text) for _, _, text in found) else [text for _, _, text in found]
 
 
-def extract(pages: DataFrame, threshold: float = THRESHOLD, least_pages: int = LEAST_PAGES) -> DataFrame:
+def extract(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """`pages` (url and html among its columns) with text and n_chars instead of
     html."""
     result = ("text", "n_chars", "html")
     rest = without(pages, result)
     hosts = pages.select(*rest, quoted("html").alias("html"), host_of(quoted("url")).alias("__host"))
     tree = style_tree(hosts.select(F.col("__host").alias("host"), "html"))
-    low = stage(tree.where((F.col("pages") >= least_pages) & (F.col("importance") < threshold) & (2 * F.col("shown") > F.col("pages")))
-                .groupBy(F.col("host").alias("__host")).agg(F.collect_set("content").alias("__low")), "html-low")
+    low = stage(tree.where(template(tree, threshold)).groupBy(F.col("host").alias("__host"))
+                .agg(F.collect_set("content").alias("__low")), "html-low")
     joined = hosts.join(low, "__host", "left").drop("__host")
     columns = [c for c in joined.columns if c not in ("html", "__low")]
     fields = ", ".join(f"`{c.replace('`', '``')}` {joined.schema[c].dataType.simpleString()}" for c in columns)
@@ -240,8 +313,7 @@ def extract(pages: DataFrame, threshold: float = THRESHOLD, least_pages: int = L
         for batch in batches:
             texts = []
             for page, cut in zip(batch.column("html").to_pylist(), batch.column("__low").to_pylist()):
-                gone = frozenset(cut or ())
-                texts.append("\n\n".join(text for path, _, text in blocks(page or "") if not gone or _content(path, text) not in gone))
+                texts.append("\n\n".join(_cut(blocks(page or ""), frozenset(cut or ()))))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())], [*columns, "text", "n_chars"])
 

@@ -216,3 +216,69 @@ def test_mix_blocks_do_not_change_the_selection(spark):
 def test_clashing_columns_are_replaced(spark):
     df = spark.createDataFrame([(1, prose(1, 60), "a", "x", 5)], "doc_id long, text string, source string, `Taken` string, `a.b` int")
     assert "a.b" in mix.mix(df).columns and [c.lower() for c in mix.mix(df).columns].count("taken") == 1
+
+
+@pytest.mark.parametrize("page,want", [
+    ('<article><p>the article</p></article><section class="reader-comments"><p>I say</p></section>', ["the article"]),
+    ('<div><p>the article</p></div><div class="user-comments"><p>I say</p></div>', ["the article"]),
+    ('<p>the article</p><div class="comment-12"><p>a comment that is longer than all of the article</p></div>', ["the article"]),
+    ('<p>the article</p><div id="comments-section-12"><p>I say</p></div><div class=commentList>x</div>', ["the article"]),
+    ('<p>the article</p><div class="cookiebar">We use</div><div class="site-banner">Buy</div><div class=adBox>Buy</div>', ["the article"]),
+    ('<div class="entry share"><p>body</p></div>', ["body"]),
+    ('<p>Notice: <span class="notice">important</span> text</p>', ["Notice: important text"]),
+    ('<article><header><h1>Title</h1></header><p>text</p></article><header>site</header>', ["Title", "text"]),
+    ('<article><div class="post-header"><h1>Title</h1></div><p>text of it</p></article>', ["Title", "text of it"]),
+    ('<div class="share-price-table">1 2 3</div><p>text that is longer</p>', ["1 2 3", "text that is longer"]),
+    ('<div class="ad">an advert that is longer than the article</div><article><p>short</p></article>', ["short"]),
+    ('<article><h1>Title</h1><div class="entry share"><p>the body of it</p></div></article>', ["Title", "the body of it"]),
+    ('<div class="comments"><p>nothing else</p></div>', ["nothing else"])])
+def test_html_names(page, want):
+    assert [text for _, _, text in html.blocks(page)] == want
+
+
+def test_small_hosts_have_a_tree(spark):
+    """Two different pages are enough for a branch; near copies and shared passages
+    are no template."""
+    line = "<div class=legal><p>Always the same line</p></div>"
+    rows = [(i, f"http://two.com/{i}", f"{line}<article><p>{prose(i, 20)}</p><p>A passage in both</p></article>", "") for i in range(2)]
+    near = [f"<p>{prose(50 + k, 10)}</p>" for k in range(9)]
+    rows += [(10 + i, f"http://near.com/{i}", "".join(near[:i] + [f"<p>edited {i}</p>"] + near[i + 1:]), "") for i in range(2)]
+    text = {r.page_id: r.text.split("\n\n") for r in html.extract(pages(spark, rows)).collect()}
+    assert [len(text[i]) for i in (0, 1, 10, 11)] == [2, 2, 9, 9]
+    assert "Always the same line" not in text[0] + text[1] and text[0][1] == "A passage in both"
+
+
+def test_style_tree_equals_brute_force(spark):
+    import math
+    import random
+    from collections import defaultdict
+
+    r = random.Random(3)
+    rows = []
+    for host in range(3):
+        for i in range(2 + 4 * host):
+            parts = [f"<p>{r.choice('abc')}{r.randint(0, 4)}</p>" for _ in range(4)] + [f"<div><b>{r.choice('xy')}</b></div>"] * r.randint(0, 2)
+            rows.append((len(rows), f"http://h{host}/", "".join(parts), ""))
+    tree = html.style_tree(spark.createDataFrame([(u.split("/")[2], h) for _, u, h, _ in rows], "host string, html string"))
+    shows, have, looks = defaultdict(set), defaultdict(set), defaultdict(lambda: defaultdict(set))
+    for _, url, page, _ in rows:
+        host, found = url.split("/")[2], tuple(html.blocks(page))
+        for path, inline, text in found:
+            shows[host, path, text].add(found)
+            have[host, path].add(found)
+            looks[host, path][inline].add(found)
+    want = {}
+    for (host, path), pages_ in have.items():
+        m = len(pages_)
+        if m < 2:
+            continue
+        n = [len(x) for x in looks[host, path].values()]
+        presentation = min(1.0, -sum(x / sum(n) * math.log(x / sum(n)) for x in n) / math.log(m))
+        each = {t: len(s) for (h, p, t), s in shows.items() if (h, p) == (host, path)}
+        whole = lambda c: (1 - html.GAMMA) * presentation + html.GAMMA * c  # noqa: B023, E731
+        branch = sum(k * whole(1 - math.log(k) / math.log(m)) for k in each.values()) / sum(each.values())
+        for t, k in each.items():
+            if k > 1:
+                want[host, path, html._content(path, t)] = (k, m, round(whole(1 - math.log(k) / math.log(m + html.PRIOR)), 9), round(branch, 9))
+    got = {(x.host, x.path, x.content): (x.shown, x.pages, round(x.importance, 9), round(x.branch, 9)) for x in tree.collect()}
+    assert got == want and len(want) > 10
