@@ -9,12 +9,15 @@ comes from the host graph of their links:
 * distrust: the same on reversed links, seeded by the pages that a block rule
   rejects, so hosts that link to blocked ones gather it.
 
-Each is divided by the rank that seeding every page would give on the same
-graph, so both are shares in [0, 1] of the mass that reaches a host, whatever its
-size. A host is blocked if its distrust share reaches `threshold`
-and exceeds its trust share. A fixed number of power iterations runs as joins
-and sums over (host, host) edges; each result is a written table, so lineage
-stays short and a hub's edges can be split by adaptive execution.
+Hosts that are only linked to count as one page, which a rule for the whole host
+decides. Each rank is divided by the one that seeding every page would give on the
+same graph, less a host's own part of it where no rule decides any of its pages: a
+host that links to blocked ones alone has a distrust of 1, whatever its size. A host
+is blocked if its distrust reaches `threshold` and exceeds its trust. After k steps
+at most damping ** k of the mass has not moved; steps go on until that is `TOLERANCE`
+(none if there are no edges). Steps are joins and sums over (host, host) edges, with
+a written table every few, so lineage stays short and a hub's edges can be split by
+adaptive execution.
 
 Nulls and edge cases: a null url, or one without ://, has an empty host and
 path and is allowed; null html has no links; links of a page to one host count
@@ -24,6 +27,8 @@ columns whose names clash with the result's are replaced.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,8 +42,11 @@ RULES = (
     ("allow", "org", "/fr/"),
 )
 DAMPING = 0.85
-ITERATIONS = 10
+TOLERANCE = 1e-3   # of the mass may not have moved
+ITERATIONS = math.ceil(math.log(TOLERANCE) / math.log(DAMPING))
+WRITE_EVERY = 4    # steps
 THRESHOLD = 0.5
+LEAST = 1e-9       # rank; less is rounding
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HOST = r"(?s)^.*?://([^/?#]*)"
 PATH = r"(?s)^.*?://[^/?#]*([^?#]*)"
@@ -88,13 +96,17 @@ def propagate(hosts: DataFrame, edges: DataFrame, damping: float = DAMPING, iter
     )).alias("s")).select("s.way", "host", "s.mark", "s.base"), "url-seeds")
     jump = seeds.select("way", "host", (F.col("mark") * (1 - damping)).alias("mark"), (F.col("base") * (1 - damping)).alias("base"))
     ranks = seeds
-    for _ in range(iterations):
+    for i in range(0 if graph.isEmpty() else iterations):
         moved = graph.join(ranks, ["way", "host"]).select(
             "way", F.col("dst").alias("host"), (F.col("mark") * F.col("share") * damping).alias("mark"),
             (F.col("base") * F.col("share") * damping).alias("base"))
-        ranks = stage(jump.unionAll(moved).groupBy("way", "host").agg(F.sum("mark").alias("mark"), F.sum("base").alias("base")),
-                      "url-rank")
-    share = lambda way: F.max(F.when((F.col("way") == way) & (F.col("base") > 0), F.col("mark") / F.col("base")))
+        ranks = jump.unionAll(moved).groupBy("way", "host").agg(F.sum("mark").alias("mark"), F.sum("base").alias("base"))
+        if (i + 1) % WRITE_EVERY == 0 or i + 1 == iterations:
+            ranks = stage(ranks, "url-rank")
+    # A host without a decided page: only what reaches it counts.
+    own = hosts.where("allowed + blocked = 0").select("host", (F.col("pages") * (1 - damping)).alias("own"))
+    ranks = ranks.join(own, "host", "left").withColumn("base", F.col("base") - F.coalesce("own", F.lit(0.0)))
+    share = lambda way: F.max(F.when((F.col("way") == way) & (F.col("base") > LEAST), F.col("mark") / F.col("base")))
     return ranks.groupBy("host").agg(F.coalesce(share(0), F.lit(0.0)).alias("trust"), F.coalesce(share(1), F.lit(0.0)).alias("distrust"))
 
 
@@ -110,6 +122,11 @@ def judge_urls(pages: DataFrame, rules: tuple = RULES, threshold: float = THRESH
         F.count(F.lit(1)).alias("pages"), F.count_if(F.col("__own") == "allow").alias("allowed"),
         F.count_if(F.col("__own") == "block").alias("blocked"))
     edges = stage(host_edges(pages.select(host_of(quoted("url")).alias("host"), quoted("html").alias("html"))), "url-edges")
+    linked = edges.select("dst").distinct().join(hosts, F.col("dst") == F.col("host"), "left_anti").select(F.col("dst").alias("host"))
+    _, whole = _decide(F.col("host"), F.lit("/"), tuple(r for r in rules if r[2] == "/"))
+    linked = linked.select("host", F.lit(1).cast("long").alias("pages"), F.coalesce(whole == "allow", F.lit(False)).cast("long").alias("allowed"),
+                           F.coalesce(whole == "block", F.lit(False)).cast("long").alias("blocked"))
+    hosts = stage(hosts.unionByName(linked), "url-hosts")
     shares = stage(propagate(hosts, edges, damping, iterations), "url-shares")
     scored = judged.join(shares, "host", "left")
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
@@ -125,6 +142,8 @@ def op7_urls(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def _sql() -> str:
     quote = lambda s: s.replace("'", "''")
+    whole = [(h, a) for a, h, p in RULES if p == "/"]
+    decided = lambda action: " OR ".join(f"dst = '{h}' OR ends_with(dst, '.{h}')" for h, a in whole if a == action) or "false"
     longest = sorted(RULES, key=lambda r: (-len(r[1]) - len(r[2]), r[1] + r[2]))
     fits = [(f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')", h + p, a) for a, h, p in longest]
     rule = " ".join(f"WHEN {f} THEN '{r}'" for f, r, _ in fits)
@@ -156,11 +175,17 @@ WITH p0 AS (
 ), h AS (
   SELECT host, count(*)::DOUBLE AS base, count(*) FILTER (own = 'allow')::DOUBLE AS allowed,
          count(*) FILTER (own = 'block')::DOUBLE AS blocked FROM p WHERE host != '' GROUP BY host
+  UNION ALL
+  SELECT DISTINCT dst, 1::DOUBLE, ({decided('allow')})::INT::DOUBLE, ({decided('block')})::INT::DOUBLE
+  FROM e WHERE dst NOT IN (SELECT host FROM p)
 ), seeds AS (
   SELECT 0 AS way, host, allowed AS mark, base FROM h UNION ALL SELECT 1, host, blocked, base FROM h
-), {", ".join(steps)}, s AS (
-  SELECT host, coalesce(max(mark / base) FILTER (way = 0 AND base > 0), 0) AS trust,
-         coalesce(max(mark / base) FILTER (way = 1 AND base > 0), 0) AS distrust FROM {last} GROUP BY host
+), {", ".join(steps)}, f AS (
+  SELECT way, r.host, mark, r.base - CASE WHEN allowed + blocked = 0 THEN h.base * (1 - {DAMPING}::DOUBLE) ELSE 0 END AS base
+  FROM {last} r JOIN h USING (host)
+), s AS (
+  SELECT host, coalesce(max(mark / base) FILTER (way = 0 AND base > {LEAST}), 0) AS trust,
+         coalesce(max(mark / base) FILTER (way = 1 AND base > {LEAST}), 0) AS distrust FROM f GROUP BY host
 )
 SELECT page_id, host, path, rule,
        coalesce(own, CASE WHEN coalesce(distrust, 0) >= {THRESHOLD} AND coalesce(distrust, 0) > coalesce(trust, 0)
