@@ -57,6 +57,7 @@ SCOPE = 300
 MIN_PART = 6
 RUN = 256
 
+STRETCH = 2048  # characters masked at a time
 RESULT = ("n_assign", "n_access", "n_hex", "base_sha256", "spans", "span_list")
 
 
@@ -142,21 +143,38 @@ def scan(docs: DataFrame, text: str = "text", scope: int = SCOPE) -> DataFrame:
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """The rows and columns of `docs`, every reported span of the text replaced
-    by `mark` (overlapping spans by one). Null texts stay null."""
+    by `mark` (overlapping spans by one). Null texts stay null.
+
+    A text with spans is cut into stretches of `STRETCH` characters by one pass of a
+    pattern, and each stretch is masked on its own: a span that goes on into the
+    next stretch is marked where it starts. So no piece is searched for from the
+    start of the text, and no list of all spans is copied for each span."""
     found = scan(docs.select("*", quoted(text).alias("__whole")), "__whole")
-    merged = F.aggregate("span_list", F.array().cast("array<struct<start:bigint,end:bigint>>"), lambda acc, p: F.when(
-        (F.size(acc) > 0) & (p["start"] < F.element_at(acc, -1)["end"]),
-        F.array_append(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.struct(
-            F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], p["end"]).alias("end"))))
-        .otherwise(F.array_append(acc, F.struct(p["start"].alias("start"), p["end"].alias("end")))))
-    found = found.withColumn("__cut", F.when(F.size("span_list") == 0, F.array().cast("array<struct<start:bigint,end:bigint>>"))
-                             .otherwise(merged))
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    long = lambda x: x.cast("long")
+    once = lambda value, use: F.get(F.transform(F.array(value), use), F.lit(0))  # noqa: E731 - `value` is computed once for all its uses
+
+    def masked(spans: Column, piece: Column, number: Column) -> Column:
+        lo = long(number) * STRETCH
+        near = F.transform(F.filter(spans, lambda p: (p["start"] < lo + STRETCH) & (p["end"] > lo)),
+                           lambda p: F.struct(long(p["start"]).alias("start"), long(p["end"]).alias("end")))
+        return F.when(F.size(near) == 0, piece).otherwise(once(F.aggregate(near, none, lambda acc, p: F.when(
+            (F.size(acc) > 0) & (p["start"] < F.element_at(acc, -1)["end"]),
+            F.array_append(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.struct(
+                F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], p["end"]).alias("end"))))
+            .otherwise(F.array_append(acc, p))), lambda merged: cut(piece, lo, merged)))
+
+    def cut(piece: Column, lo: Column, spans: Column) -> Column:
+        after = lambda i: F.greatest(F.coalesce(F.get(spans, i)["end"], lo), lo)
+        parts = F.transform(spans, lambda c, i: F.concat(
+            F.substring(piece, (after(i - 1) - lo + 1).cast("int"), F.greatest(c["start"] - after(i - 1), F.lit(0)).cast("int")),
+            F.when(c["start"] >= lo, F.lit(mark)).otherwise(F.lit(""))))
+        return F.concat(F.array_join(parts, ""), F.substring(piece, (after(F.size(spans) - 1) - lo + 1).cast("int"), F.lit(STRETCH)))
+
     t = F.col("__whole")
-    pieces = F.transform("__cut", lambda c, i: F.concat(
-        F.substring(t, (F.coalesce(F.get("__cut", i - 1)["end"], F.lit(0)) + 1).cast("int"),
-                    (c["start"] - F.coalesce(F.get("__cut", i - 1)["end"], F.lit(0))).cast("int")), F.lit(mark)))
-    tail = F.substring(t, (F.element_at("__cut", -1)["end"] + 1).cast("int"), F.length(t))
-    clean = F.when(F.size("__cut") == 0, t).otherwise(F.concat(F.array_join(pieces, ""), tail))
+    stretches = F.regexp_extract_all(t, F.lit(f"(?s)(.{{1,{STRETCH}}})"), F.lit(1))
+    clean = once(F.col("span_list"), lambda spans: F.when(F.size(spans) == 0, t).otherwise(
+        F.array_join(F.transform(stretches, lambda piece, i: masked(spans, piece, i)), "")))
     return found.select(*[clean.alias(c) if c == text else quoted(c) for c in docs.columns])
 
 
