@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from spindle.llm.common import recording, release, stage, table
 from spindle.llm.decontaminate import decontaminate
+from spindle.llm.mix import RESULT as MIXED
 from spindle.llm.mix import mix
 from spindle.llm.neardup import keep_one
 from spindle.llm.quality import judge
@@ -98,7 +99,10 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, data_dir: str) -> DataFr
 @_pipeline_stage
 def mixing_stage(spark: SparkSession, docs: DataFrame, data_dir: str) -> DataFrame:
     """The documents that the mix takes, and how many of their words."""
-    return mix(docs).where("taken > 0")
+    mixed = mix(_plain(docs)).where("taken > 0")
+    taken = {c.lower() for c in MIXED}
+    kept = [F.col(p).alias(c) for c, p in zip(docs.columns, _plain(docs).columns) if c.lower() not in taken]
+    return mixed.select(*kept, *MIXED)
 
 
 STAGES = [
