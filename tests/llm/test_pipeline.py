@@ -71,3 +71,28 @@ def test_no_documents(spark, nothing):
 def test_stages_call_the_dealt_operators():
     assert [n for n, _ in P.STAGES] == ["quality", "near_duplicates", "decontamination", "secrets", "mixing"]
     assert P.ORACLE_SQL is None
+
+
+def test_extra_columns_of_any_name_pass_every_stage(spark, cases):
+    """Names that the operators use inside, and names of their results."""
+    docs = spark.read.parquet(f"{cases}/documents.parquet").where("doc_id < 12 OR doc_id > 18")
+    extra = docs.selectExpr("*", "'x' AS __src", "'y' AS __t", "doc_id AS taken", "7 AS target", "'z' AS `a.b`")
+    for name, function in P.STAGES[2:]:
+        out = function(spark, extra, cases)
+        rows = out.collect()
+        assert rows and all(r["__src"] == "x" and r["__t"] == "y" and r["a.b"] == "z" for r in rows), name
+        if name != "mixing":
+            assert out.columns == extra.columns
+
+
+def test_masking_long_and_dense_texts(spark):
+    """Spans across stretches, overlapping and adjacent ones: one mark each."""
+    from spindle.llm import secrets
+
+    key = "0123456789abcdef" * 2
+    texts = [("é" * n + " " + key + " end") for n in range(secrets.STRETCH - 40, secrets.STRETCH + 4)] + [key * 200, " ".join([key] * 400), None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [r.text for r in secrets.redact(df).collect()]
+    n = secrets.STRETCH + 4 - (secrets.STRETCH - 40)
+    assert got[:n] == ["é" * k + " [SECRET] end" for k in range(secrets.STRETCH - 40, secrets.STRETCH + 4)]
+    assert got[n:] == ["[SECRET]", " ".join(["[SECRET]"] * 400), None, ""]
