@@ -33,6 +33,7 @@ from spindle.streaming.wordcount import running_word_counts
 WORD_BATCHES = 12
 HOURS = 2      # of the day in a batch
 SLIDING_BATCH = 5 * derived.DAY
+SESSION_BATCH = 15 * derived.DAY
 WATERMARK = "10 minutes"
 IDLE = 6 * derived.HOUR
 STOP_AT = 5  # the micro-batch in which the upsert run stops between its writes
@@ -103,7 +104,7 @@ def stream_sliding_count(spark: SparkSession, d: str) -> DataFrame:
 def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
     """Sessions in event time, closed by a marker or by IDLE seconds of silence."""
     readings = derived.sensor_readings(spark, d).select(
-        "session_id", "ts", "event_id", "heart_rate", "calorie", "is_marker", bucket_start("ts", SLIDING_BATCH).alias("day"))
+        "session_id", "ts", "event_id", "heart_rate", "calorie", "is_marker", bucket_start("ts", SESSION_BATCH).alias("day"))
     run = _once(spark, d, "sessions", lambda: Run(
         readings.where("ts IS NOT NULL"), "day", lambda rows: closed_sessions_stream(rows, IDLE, watermark=WATERMARK), "sessions", "append",
         settings={"spark.sql.streaming.stateStore.providerClass": ROCKSDB}).all())

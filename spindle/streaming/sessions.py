@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 _ROW = "at long, tie long, heart_rate long, calorie long, marker boolean"
-_OPEN = "number long, first long, last long, n long, heart_rate long, calorie long"
+_OPEN = "number long, first long, last long, n long, heart_rate long, calorie long, wake long, waiting long"
 _OUT = ("session_no bigint, first_us bigint, last_us bigint, n bigint, total_hr bigint, total_cal bigint, closed_by string")
 
 
@@ -51,11 +51,12 @@ class _Sessions(StatefulProcessor):
 
     def _advance(self, key, fresh: list[tuple], timers) -> Iterator[pd.DataFrame]:
         now = timers.getCurrentWatermarkInMs() * 1000
-        held = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
+        # `wake` is the key's timer (0: none) and `rows` the number of waiting rows.
+        number, first, last, n, hr, cal, wake, rows = self.open.get() or (0, -1, -1, 0, 0, 0, 0, 0)
+        held = [tuple(r) for r in self.waiting.get()] if rows else []
         held = sorted([*held, *fresh])
         ready = [r for r in held if r[0] <= now]
         later = held[len(ready):]
-        number, first, last, n, hr, cal = self.open.get() if self.open.exists() else (0, -1, -1, 0, 0, 0)
         closed: list[tuple] = []
         for at, _, h, c, marker in ready:
             if first >= 0 and at - last > self.idle:
@@ -71,15 +72,18 @@ class _Sessions(StatefulProcessor):
             closed.append((number, first, last, n, hr, cal, "idle"))
             number, first, n, hr, cal = number + 1, -1, 0, 0, 0
         if later:
-            self.waiting.put(later)
-        elif self.waiting.exists():
+            if later != held or fresh:
+                self.waiting.put(later)
+        elif rows:
             self.waiting.clear()
-        self.open.update((number, first, last, n, hr, cal))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        wake = ([later[0][0]] if later else []) + ([last + self.idle] if first >= 0 else [])
-        if wake:
-            self.handle.registerTimer(min(wake) // 1000 + 1)
+        due = ([later[0][0]] if later else []) + ([last + self.idle] if first >= 0 else [])
+        due = min(due) // 1000 + 1 if due else 0
+        if due != wake:
+            if wake * 1000 > now:  # otherwise it has fired
+                self.handle.deleteTimer(wake)
+            if due:
+                self.handle.registerTimer(due)
+        self.open.update((number, first, last, n, hr, cal, due, len(later)))
         if closed:
             columns = ["session_no", "first_us", "last_us", "n", "total_hr", "total_cal", "closed_by"]
             out = pd.DataFrame(closed, columns=columns)
