@@ -6,14 +6,19 @@
 2. Classes that share a band key are candidates. Each bucket links its members
    to its smallest one, and the connected groups of these stars are the clusters
    within which any candidate pair must lie - no pair is ever listed.
-3. A cluster is cut into blocks of a bounded number of members and shingles;
-   each pair of blocks is one bounded piece of work. Within it, candidates (pairs
-   that share a band) compare signatures batch by batch: with m of n hashes equal
-   and a uniform prior, the posterior probability that the similarity reaches the
-   threshold is a binomial tail, and pairs below `MISS` are dropped. Survivors
-   are verified on the full sets. A piece returns a spanning forest of its
-   verified links, so rows grow with members, not with pairs.
-4. Connected components of the links give every document its group.
+3. A cluster is cut into blocks of a bounded number of members and shingles. A
+   block and `PIVOTS` members of the whole cluster are one bounded piece of work.
+   Within it, candidates (pairs that share a band) compare signatures batch by
+   batch: with m of n hashes equal and a uniform prior, the posterior probability
+   that the similarity reaches the threshold is a binomial tail, and pairs below
+   `MISS` are dropped. Survivors are verified on the full sets. A piece returns a
+   spanning forest of its verified links.
+4. Members that these links join need no comparison with each other. Bands whose
+   members are all joined are closed; the others cluster anew, and what is not in
+   the largest joined part of such a cluster meets, block by block, the cluster.
+   So the rows of a group of copies grow with its members; only candidates that
+   stay apart cost pairs of blocks.
+5. Connected components of all links give every document its group.
 
 The number of bands makes a pair exactly at the threshold share none with a
 probability below `BAND_MISS`. Sets hold 64-bit shingle hashes.
@@ -21,7 +26,8 @@ probability below `BAND_MISS`. Sets hold 64-bit shingle hashes.
 Nulls and edge cases: null or wordless texts have an empty set and are linked
 with nothing; null ids join a group but never name it unless no other id is
 there; identical rows share a group and, having the same id, are kept alike; an
-empty table gives an empty result; only the needed columns are read.
+empty table gives an empty result; a very long text is one member whose set is
+verified whole; only the needed columns are read.
 """
 
 from __future__ import annotations
@@ -31,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindle.llm import textbytes as tb
@@ -44,6 +50,7 @@ MISS = 1e-6
 BATCH = 32
 BLOCK_MEMBERS = 128
 BLOCK_SHINGLES = 100_000
+PIVOTS = 8
 
 
 def bands_for(percent: int) -> tuple[int, int]:
@@ -156,16 +163,18 @@ def _profile(docs: DataFrame, key: str, width: int, percent: int) -> DataFrame:
 
 
 def _verify(pieces: DataFrame, percent: int) -> DataFrame:
-    """(root, i, j, block, node, members binary), a piece's rows together ->
-    links (a, b): a spanning forest of the verified links of each piece."""
+    """(root, i, j, block, node, part, members binary) -> links (a, b): a
+    spanning forest of the verified links of each piece (root, i, j). Members of
+    one part are not compared, nor those of one block unless i = j."""
+    pieces = pieces.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "block", "node")
     bands, rows = bands_for(percent)
     hashes, checks = bands * rows, least_matches(percent, bands * rows)
 
-    def links_of(nodes: list[int], blocks: list[int], sets: list[np.ndarray], cross: bool) -> list[tuple[int, int]]:
+    def links_of(nodes: list[int], blocks: list[int], parts: list[int], sets: list[np.ndarray], cross: bool) -> list[tuple[int, int]]:
         at = {n: i for i, n in enumerate(nodes)}  # a class that comes twice (a repeated row) counts once
         keep = sorted(at.values())
         nodes, sets = [nodes[i] for i in keep], [sets[i] for i in keep]
-        side = np.array([blocks[i] for i in keep])
+        side, part = np.array([blocks[i] for i in keep]), np.array([parts[i] for i in keep])
         if len(nodes) < 2:
             return []
         sizes = np.array([len(s) for s in sets])
@@ -176,6 +185,7 @@ def _verify(pieces: DataFrame, percent: int) -> DataFrame:
         share = np.zeros((len(nodes), len(nodes)), dtype=bool)
         for j in range(bands):
             share |= keys[:, j][:, None] == keys[:, j][None, :]
+        share &= part[:, None] != part[None, :]
         if cross:
             share &= side[:, None] != side[None, :]
         x, y = np.nonzero(np.triu(share, 1))
@@ -208,23 +218,24 @@ def _verify(pieces: DataFrame, percent: int) -> DataFrame:
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece, nodes, blocks, sets = None, [], [], []
+        piece, nodes, blocks, parts, sets = None, [], [], [], []
 
         def flush() -> pa.RecordBatch:
-            found = links_of(nodes, blocks, sets, piece[1] != piece[2]) if nodes else []
+            found = links_of(nodes, blocks, parts, sets, piece[1] != piece[2]) if nodes else []
             return pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()),
                                                pa.array([p[1] for p in found], pa.int64())], ["a", "b"])
 
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("root", "i", "j", "block", "node")]
+            cols = [batch.column(c).to_pylist() for c in ("root", "i", "j", "block", "node", "part")]
             members = batch.column("members")
-            for r, (root, i, j, block, node) in enumerate(zip(*cols)):
+            for r, (root, i, j, block, node, part) in enumerate(zip(*cols)):
                 if (root, i, j) != piece:
                     if piece is not None:
                         yield flush()
-                    piece, nodes, blocks, sets = (root, i, j), [], [], []
+                    piece, nodes, blocks, parts, sets = (root, i, j), [], [], [], []
                 nodes.append(node)
                 blocks.append(block)
+                parts.append(part)
                 sets.append(np.frombuffer(members[r].as_buffer(), dtype=np.uint64).copy())
         if piece is not None:
             yield flush()
@@ -252,6 +263,42 @@ def _intersections(values: np.ndarray, bounds: np.ndarray, x: np.ndarray, y: np.
     return total[x, y].astype(np.int64)
 
 
+def _blocks(count: Column, shingles: Column) -> Column:
+    return F.greatest(F.ceil(count / BLOCK_MEMBERS), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+
+
+def _block(first: Column, blocks: Column) -> Column:
+    """One of the `blocks` block numbers from `first` on, by the node."""
+    return (first + F.pmod(F.xxhash64("node"), F.greatest(blocks, F.lit(1)).cast("long"))).cast("int")
+
+
+def _open_pieces(members: DataFrame, sets: DataFrame, banded: DataFrame, links: DataFrame) -> DataFrame:
+    """Pieces for the candidates of clusters of several blocks that `links` has
+    not joined: all that is outside a cluster's largest part, against the cluster."""
+    parts = components(links, "near-parts").withColumnRenamed("root", "part")
+    large = members.where("blocks > 1").select("node", "n").join(parts, "node", "left")
+    large = stage(large.select("node", "n", F.coalesce("part", "node").alias("part")), "near-large")
+    bands = stage(banded.join(large.select("node", "part"), "node"), "near-large-bands")
+    still = stage(bands.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.min("node").alias("hub"))
+                  .where("low < high").select("band", "hub"), "near-open-bands")
+    stars = bands.join(still, "band").where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    open_ = stage(components(stars, "near-open").join(large, "node"), "near-open-members")
+    by_part = open_.groupBy("root", "part").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n"))
+    most = F.max(F.struct("c", "n", "part"))
+    cut = by_part.groupBy("root").agg(most.alias("m"), F.sum("c").alias("c"), F.sum("n").alias("n")).select(
+        "root", F.col("m.part").alias("main"), _blocks(F.col("m.c"), F.col("m.n")).alias("inner"),
+        _blocks(F.col("c") - F.col("m.c"), F.col("n") - F.col("m.n")).alias("outer"))
+    placed = open_.join(stage(cut, "near-open-sizes"), "root")
+    own = F.when(F.col("part") == F.col("main"), _block(F.col("outer"), F.col("inner"))).otherwise(_block(F.lit(0), F.col("outer")))
+    # The largest part (blocks from `outer` on) meets the others only.
+    last = F.when(F.col("part") == F.col("main"), F.col("outer") - 1).otherwise(F.col("outer") + F.col("inner") - 1)
+    placed = stage(placed.select("node", "root", "part", own.alias("block"), last.alias("last")), "near-open-placed")
+    rows = sets.where("blocks > 1").select("node", "members").join(placed, "node")
+    pairs = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
+    return pairs.select("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                        "block", "node", "part", "members")
+
+
 def near_groups(docs: DataFrame, key: str = "doc_id", width: int = 3, percent: int = 85) -> tuple[DataFrame, DataFrame, DataFrame]:
     """docs (key, text) -> (profiles, classes, groups).
 
@@ -270,9 +317,10 @@ def near_groups(docs: DataFrame, key: str = "doc_id", width: int = 3, percent: i
     clusters = components(stars, "near-clusters")
 
     sized = stage(clusters.join(classes, "node").select("node", "root", "s1", "s2", "first", "n"), "near-members")
-    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
-    sizes = stage(sized.groupBy("root").agg(blocks.alias("blocks")), "near-sizes")
-    members = stage(sized.join(sizes, "root"), "near-wanted")
+    sizes = stage(sized.groupBy("root").agg(_blocks(F.count(F.lit(1)), F.sum("n")).alias("blocks")), "near-sizes")
+    slot = F.pmod(F.hash("node"), F.lit(PIVOTS))
+    pivots = stage(sized.groupBy("root", slot).agg(F.min("node").alias("node")).select("node", F.lit(True).alias("pivot")), "near-pivots")
+    members = stage(sized.join(sizes, "root").join(pivots, "node", "left").fillna(False, ["pivot"]), "near-wanted")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -287,19 +335,21 @@ def near_groups(docs: DataFrame, key: str = "doc_id", width: int = 3, percent: i
                 rows = full_[same]  # another text under the same key is not the class's
                 took = part.take(pa.array(rows))
                 yield pa.RecordBatch.from_arrays(
-                    [took.column("root"), took.column("blocks"), took.column("node"),
+                    [took.column("root"), took.column("blocks"), took.column("pivot"), took.column("node"),
                      pa.array([values[bounds[r]:bounds[r + 1]].tobytes() for r in rows.tolist()], pa.binary())],
-                    ["root", "blocks", "node", "members"])
+                    ["root", "blocks", "pivot", "node", "members"])
 
-    wanted = members.select(F.col("first").alias("__first"), "s1", "s2", "root", "blocks", "node")
+    wanted = members.select(F.col("first").alias("__first"), "s1", "s2", "root", "blocks", "pivot", "node")
     # Always by a shuffle: a broadcast of few members would give small inputs another plan than large ones.
-    texts = docs.join(wanted.hint("merge"), docs[key].eqNullSafe(wanted["__first"])).select("root", "blocks", "node", "s1", "s2", "text")
-    sets = texts.mapInArrow(fetch, "root long, blocks int, node long, members binary") \
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
-    pieces = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "members")
-    together = pieces.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "block", "node")
-    links = stage(_verify(together, percent), "near-links")
+    texts = docs.join(wanted.hint("merge"), docs[key].eqNullSafe(wanted["__first"])) \
+        .select("root", "blocks", "pivot", "node", "s1", "s2", "text")
+    sets = stage(texts.mapInArrow(fetch, "root long, blocks int, pivot boolean, node long, members binary"), "near-sets")
+    block = _block(F.lit(0), F.col("blocks"))
+    at = F.when(F.col("pivot"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(block))
+    pieces = sets.select("root", F.explode(at).alias("i"), block.alias("block"), "node", F.col("node").alias("part"), "members")
+    links = stage(_verify(pieces.withColumn("j", F.col("i")), percent), "near-links")
+    rest = stage(_verify(_open_pieces(members, sets, banded, links), percent), "near-links-rest")
+    links = links.unionAll(rest)
     return profile.select(key, "n_shingles", "s1", "s2"), classes, components(links, "near-groups")
 
 

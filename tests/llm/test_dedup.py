@@ -183,3 +183,47 @@ def test_range_hashes_do_not_depend_on_place():
     data = np.frombuffer(b"xxhello--hello!", dtype=np.uint8)
     h = tb.Ranges(data).of(np.array([2, 9]), np.array([7, 14]))
     assert h[0] == h[1]
+
+
+def _piece_rows(spark, monkeypatch, texts):
+    counts, verify = [], neardup._verify
+
+    def counting(pieces, percent):
+        counts.append(pieces.count())
+        return verify(pieces, percent)
+
+    monkeypatch.setattr(neardup, "_verify", counting)
+    rows = neardup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    monkeypatch.setattr(neardup, "_verify", verify)
+    return counts, {r.doc_id: r.component_id for r in rows}
+
+
+def test_rows_of_near_copies_grow_with_the_group(spark, monkeypatch):
+    """One large group of near copies: members and pivots, no pairs of blocks."""
+    monkeypatch.setattr(neardup, "BLOCK_MEMBERS", 16)
+    base = [f"b{i}" for i in range(120)]
+    rows = {}
+    for n in (200, 400):
+        counts, groups = _piece_rows(spark, monkeypatch, [" ".join([*base[:i % 120], f"w{i}", *base[i % 120 + 1:]]) for i in range(n)])
+        rows[n] = sum(counts)
+        assert set(groups.values()) == {0}
+    assert rows[400] <= 2.2 * rows[200] and rows[400] <= 400 * (1 + 2 * neardup.PIVOTS / 16)
+
+
+def test_candidates_that_stay_apart_still_meet(spark, monkeypatch):
+    """Chains, whose ends are no links, and groups next to each other in one cluster."""
+    monkeypatch.setattr(neardup, "BLOCK_MEMBERS", 2)
+    monkeypatch.setattr(neardup, "PIVOTS", 1)
+    base = [f"b{i}" for i in range(100)]
+    texts = [" ".join([f"c{j}" if j < 3 * i else w for j, w in enumerate(base)]) for i in range(12)]
+    texts += [" ".join([f"d{j}" if j < 9 else w for j, w in enumerate(base)]) + " end" * k for k in range(4)]
+    words = [t.split() for t in texts]
+    sets = [{tuple(w[i:i + 3]) for i in range(len(w) - 2)} for w in words]
+    label = list(range(len(texts)))
+    for _ in texts:
+        for x in range(len(texts)):
+            for y in range(len(texts)):
+                if 100 * len(sets[x] & sets[y]) >= 85 * len(sets[x] | sets[y]):
+                    label[x] = min(label[x], label[y])
+    counts, groups = _piece_rows(spark, monkeypatch, texts)
+    assert groups == dict(enumerate(label)) and counts[1] > 0
