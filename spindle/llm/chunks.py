@@ -4,7 +4,7 @@ A gear rolling hash over the last 32 bytes cuts texts into variable chunks: a
 cut falls where the hash's top bits are zero, at least `LEAST` and at most `MOST`
 bytes after the last one and never inside a UTF-8 character. Cuts depend on
 nearby bytes only, so an insertion shifts its own chunk and the rest line up
-again. Chunks are compared by a 128-bit digest; the copy in the smallest
+again. Chunks are compared by a 128-bit BLAKE2b digest; the copy in the smallest
 (doc_id, place) stays and every other one is removed. With a `run`, the removed
 chunks that adjoin must make up that many bytes or the whole text; the query sets
 none, as it would leave most lone shared chunks in every copy.
@@ -16,14 +16,16 @@ between two exchanges, which adaptive execution may split.
 
 Nulls and edge cases: null text counts as empty and has no chunk; null ids come
 last when the copy to keep is chosen; rows with the same id and text are one
-document and get the same result; a text shorter than two cuts is one chunk; an
-empty table gives an empty result; only the needed columns are read.
+document and get the same result; a text shorter than two cuts is one chunk; a
+very long text is cut whole, as one slice; an empty table gives an empty result;
+only the needed columns are read.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -89,8 +91,11 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def _keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    size = (ends - starts).astype(np.uint64)
-    return tuple(tb.as_long(tb.mix64(tb.Ranges(data, b).of(starts, ends) + size)) for b in tb.BASES)
+    """The two halves of each chunk's BLAKE2b digest of 128 bits."""
+    raw = data.tobytes()
+    digests = b"".join([blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(starts.tolist(), ends.tolist())])
+    halves = np.frombuffer(digests, dtype="<i8").reshape(-1, 2)
+    return np.ascontiguousarray(halves[:, 0]), np.ascontiguousarray(halves[:, 1])
 
 
 def _chunk_rows(docs: DataFrame, kept: tuple | None = None) -> DataFrame:

@@ -99,6 +99,17 @@ def test_chunks_equal_definition(spark):
         assert r.n_chunks == len(own)
 
 
+def test_chunk_keys_are_digests():
+    """A polynomial modulo 2**64 is blind to some differences; a digest is not."""
+    data = np.frombuffer(prose(6, 60).encode(), dtype=np.uint8)
+    starts, ends = np.array([0, 40, 40]), np.array([40, 90, 90])
+    k1, k2 = chunks._keys(data, starts, ends)
+    for i, (a, b) in enumerate(zip(starts, ends)):
+        raw = hashlib.blake2b(data[a:b].tobytes(), digest_size=16).digest()
+        assert raw == int(k1[i]).to_bytes(8, "little", signed=True) + int(k2[i]).to_bytes(8, "little", signed=True)
+    assert [len(k) for k in chunks._keys(data, starts[:0], ends[:0])] == [0, 0]
+
+
 def test_chunks_query_removes_lone_chunks(spark, tmp_path):
     rows = [(100 * k + i, prose(300 + 100 * k + i, 40) + prose(700 + i, 25) + prose(500 + 100 * k + i, 40), "a") for k in (0, 1) for i in range(40)]
     seen, want, lone = set(), {}, 0
