@@ -3,12 +3,13 @@
 Each delivers a given table in ordered batches to a Structured Streaming query,
 runs it in several starts on one checkpoint and returns what its sink or its state
 holds (see `spindle.streaming.replay`). The batches are hours of the day, two at a
-time, or a hash of the conversation, so their number does not grow with the table
-and a batch does. Runs that several queries read are made once per application and data folder.
+time, stretches of time whose length follows the table's, or a hash of the
+conversation, so their number does not grow with the table and a batch does. Runs that several queries read are made once per application and data folder.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
@@ -24,7 +25,7 @@ from spindle.sinks.keyed_table import KeyedTable
 from spindle.sources.tables import read_table
 from spindle.streaming.keyed import AUDIT_SCHEMA, tweets_from_records, upsert_batch_fn
 from spindle.streaming.replay import ROCKSDB, Run
-from spindle.streaming.sensor import sensor_state_stream
+from spindle.streaming.sensor import sensor_state_stream, sensor_states
 from spindle.streaming.sessions import closed_sessions_stream
 from spindle.streaming.sliding import sliding_changes_stream
 from spindle.streaming.wordcount import running_word_counts
@@ -32,8 +33,8 @@ from spindle.streaming.wordcount import running_word_counts
 # Fixed values.
 WORD_BATCHES = 12
 HOURS = 2      # of the day in a batch
-SLIDING_BATCH = 5 * derived.DAY
-SESSION_BATCH = 15 * derived.DAY
+SLIDING_BATCH, SLIDING_BATCHES = 5 * derived.DAY, 8  # least length, most batches
+SESSION_BATCH, SESSION_BATCHES = 15 * derived.DAY, 4
 WATERMARK = "10 minutes"
 IDLE = 6 * derived.HOUR
 STOP_AT = 5  # the micro-batch in which the upsert run stops between its writes
@@ -47,6 +48,14 @@ def _hours(ts: str) -> Column:
     return F.floor(F.hour(ts) / HOURS).cast("int")
 
 
+def _stretches(df: DataFrame, ts: str, least: int, most: int) -> Column:
+    """Start of the batch of a row: stretches of time of the same length, `least`
+    seconds or a multiple of it that cuts the table in no more than about `most`."""
+    first, last = df.agg(F.min(ts), F.max(ts)).first()
+    seconds = (last - first).total_seconds() if first else 0
+    return bucket_start(ts, least * max(1, math.ceil(seconds / (least * most))))
+
+
 def _once(spark: SparkSession, d: str, kind: str, make: Callable[[], object]):
     key = (spark.sparkContext.applicationId, d, kind)
     if key not in _RUNS:
@@ -77,8 +86,7 @@ def stream_sensor_state(spark: SparkSession, d: str) -> DataFrame:
     if not run.delivery.count:
         return spark.createDataFrame([], AVERAGES)
     rows = run.session.read.format("statestore").load(run.checkpoint)
-    state = rows.select(F.col("key.session_id"), F.col("value.groupState.hr").alias("total_hr"),
-                        F.col("value.groupState.cal").alias("total_cal"), F.col("value.groupState.n").alias("total_n"))
+    state = sensor_states(rows, "bigint")
     return state.select("*", int_div("total_hr", "total_n").alias("avg_hr"), int_div("total_cal", "total_n").alias("avg_cal"))
 
 
@@ -94,9 +102,9 @@ def stream_word_count(spark: SparkSession, d: str) -> DataFrame:
 def stream_sliding_count(spark: SparkSession, d: str) -> DataFrame:
     """Five-minute windows at a slide of one second, by add and subtract: all windows
     that end by the last watermark."""
-    events = read_table(spark, d, "events").select("ts", "event_type", bucket_start("ts", SLIDING_BATCH).alias("batch"))
+    events = read_table(spark, d, "events").select("ts", "event_type").where("ts IS NOT NULL")
     run = _once(spark, d, "sliding", lambda: Run(
-        events.where("ts IS NOT NULL"), "batch", lambda rows: sliding_changes_stream(rows, "ts", "event_type", 300, 1, WATERMARK),
+        events.withColumn("batch", _stretches(events, "ts", SLIDING_BATCH, SLIDING_BATCHES)), "batch", lambda rows: sliding_changes_stream(rows, "ts", "event_type", 300, 1, WATERMARK),
         "sliding", "append", settings={"spark.sql.streaming.stateStore.providerClass": ROCKSDB}).all())
     return run.result("window_start timestamp_ntz, window_end timestamp_ntz, event_type string, n bigint", by_batch=False)
 
@@ -104,9 +112,9 @@ def stream_sliding_count(spark: SparkSession, d: str) -> DataFrame:
 def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
     """Sessions in event time, closed by a marker or by IDLE seconds of silence."""
     readings = derived.sensor_readings(spark, d).select(
-        "session_id", "ts", "event_id", "heart_rate", "calorie", "is_marker", bucket_start("ts", SESSION_BATCH).alias("day"))
+        "session_id", "ts", "event_id", "heart_rate", "calorie", "is_marker").where("ts IS NOT NULL")
     run = _once(spark, d, "sessions", lambda: Run(
-        readings.where("ts IS NOT NULL"), "day", lambda rows: closed_sessions_stream(rows, IDLE, watermark=WATERMARK), "sessions", "append",
+        readings.withColumn("day", _stretches(readings, "ts", SESSION_BATCH, SESSION_BATCHES)), "day", lambda rows: closed_sessions_stream(rows, IDLE, watermark=WATERMARK), "sessions", "append",
         settings={"spark.sql.streaming.stateStore.providerClass": ROCKSDB}).all())
     return run.result("session_id bigint, session_no bigint, first_ts timestamp_ntz, last_ts timestamp_ntz, n bigint, total_hr bigint, "
                       "total_cal bigint, closed_by string", by_batch=False)

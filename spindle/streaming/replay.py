@@ -5,7 +5,8 @@ batch per micro-batch, and its sink is a table with the micro-batch's number.
 A delivery is what a source hands over between two triggers. Its files are written
 by one job per batch (so they are ordered by time) and all batches have the same
 number of files, which is also the most files of a trigger: micro-batch N is batch
-N. `FILE_ROWS` sizes that number, so no task writes a whole batch of a large table.
+N. `FILE_ROWS` sizes that number by the largest batch, so no task writes or reads a
+whole batch of a large table; a batch with fewer rows gets empty files in addition.
 
 The sink overwrites the partition of its micro-batch, so a micro-batch that is
 replayed after a failure leaves no second copy. A stream is run in several starts
@@ -24,7 +25,7 @@ from spindle.session import ensure_checkpoint_dir, stream_settings
 from spindle.streaming.control import start
 
 # Fixed values.
-FILE_ROWS = 5_000_000
+FILE_ROWS = 100_000
 STARTS = 2  # starts of a stream on its checkpoint
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -40,7 +41,7 @@ class Delivery:
         self.count = len(counts)
         kind = df.schema[batch].dataType.simpleString()
         self.manifest = spark.createDataFrame([(i, r[0]) for i, r in enumerate(counts)], f"batch_no long, `{batch}` {kind}")
-        self.files = max(1, min(max((r["n"] for r in counts), default=0) // FILE_ROWS, min((r["n"] for r in counts), default=1)))
+        self.files = max(1, max((r["n"] for r in counts), default=0) // FILE_ROWS)
         self.schema = df.drop(batch).schema
         numbered = df.alias("d").join(F.broadcast(self.manifest.alias("m")), F.col(f"d.{batch}").eqNullSafe(F.col(f"m.{batch}")))
         numbered.select(*[f"d.{c}" for c in self.schema.names], "m.batch_no").write.partitionBy("batch_no").parquet(f"{self.path}/staged")
@@ -54,6 +55,15 @@ class Delivery:
         for number in range(first, until):
             rows = spark.read.schema(self.schema).parquet(f"{self.path}/staged/batch_no={number}")
             rows.repartition(self.files).write.mode("append").parquet(self.source)
+            self._fill(spark, number)
+
+    def _fill(self, spark: SparkSession, number: int) -> None:
+        """Empty files where batch `number`, the last one written, has too few: a
+        task without rows writes no file."""
+        if self.files > 1:
+            there = len(spark.read.schema(self.schema).parquet(self.source).inputFiles())
+            for _ in range((number + 1) * self.files - there):
+                spark.createDataFrame([], self.schema).coalesce(1).write.mode("append").parquet(self.source)
 
     def stream(self, spark: SparkSession) -> DataFrame:
         return spark.readStream.schema(self.schema).option("maxFilesPerTrigger", self.files).parquet(self.source)
