@@ -7,8 +7,8 @@ bucket rows are spread over the windows containing them (`window_time` of the
 bucket carries the event time forward). With a 5-minute window and 1-second
 slide a plain `window()` keeps 300 copies of every event in state; this keeps
 one row per key and second. Windows are emitted once the watermark passes
-their end. `sliding_changes_stream` keeps one state row per key and slide and no
-copies at all, by add and subtract. Watermarks need a zone-aware timestamp, so a zone-free event time
+their end. `sliding_changes_stream` keeps each key's buckets once, by add and
+subtract, in a state row per key and range of time. Watermarks need a zone-aware timestamp, so a zone-free event time
 is cast with the session time zone.
 """
 
@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from spindle.streaming.groups import as_text
+
 # Fixed values.
-FRAME_ROWS = 100_000  # rows of an emitted frame
+RANGE_SECONDS = 3600  # of a key's window starts in a state row, at least the size of a window
 
 
 def _event_time(df: DataFrame, ts: str) -> DataFrame:
@@ -51,73 +53,67 @@ def sliding_counts_stream(df: DataFrame, ts: str, key: str, size: str = "5 minut
 
 
 class _Slides(StatefulProcessor):
-    """Add and subtract per key: `buckets` holds each bucket's count once, `open`
-    the next window to emit and the count of the one before it. All in slides."""
+    """Add and subtract for the windows of a key that start in one range of time. The
+    state holds the range's buckets (position and count), the next window to emit, the
+    count of the one before it and the key's timer (0: none). All in slides."""
 
-    def __init__(self, key: str, kind: str, per_window: int, slide: int):
-        self.key, self.kind, self.per_window, self.slide = key, kind, per_window, slide
+    def __init__(self, key: str, per_window: int, slide: int, length: int):
+        self.key, self.per_window, self.slide, self.length = key, per_window, slide, length
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buckets = handle.getMapState("buckets", "bucket long", "n long")
-        self.open = handle.getValueState("open", "next long, n long")
+        self.buckets = handle.getValueState("buckets", "at array<long>, n array<long>, next long, before long, wake long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for pdf in rows:
-            for bucket, n in zip(pdf["bucket"], pdf["n"]):
-                self.buckets.updateValue((int(bucket),), (int(n),))
-        yield from self._advance(key, timerValues)
+        fresh = pd.concat([pdf[["bucket", "n"]] for pdf in rows])
+        yield from self._advance(key, fresh["bucket"].to_numpy(np.int64), fresh["n"].to_numpy(np.int64), timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._advance(key, timerValues)
-
-    def _advance(self, key, timers) -> Iterator[pd.DataFrame]:
-        """Emit the windows that end by the watermark."""
-        held = sorted((b[0], n[0]) for b, n in self.buckets.iterator())
-        if not held:
+        none = np.array([], dtype=np.int64)
+        yield from self._advance(key, none, none, timerValues)
+
+    def _advance(self, key, fresh: np.ndarray, counts: np.ndarray, timers) -> Iterator[pd.DataFrame]:
+        """Emit the range's windows that end by the watermark."""
+        held = self.buckets.get()
+        at, n, first, before, wake = held or ([], [], None, 0, 0)
+        at, n = np.append(np.array(at, dtype=np.int64), fresh), np.append(np.array(n, dtype=np.int64), counts)
+        order = np.argsort(at, kind="stable")
+        at, n = at[order], n[order]
+        if not len(at):
             return
-        at = np.array([b for b, _ in held], dtype=np.int64)
-        n = np.array([c for _, c in held], dtype=np.int64)
-        first, before = self.open.get() if self.open.exists() else (int(at[0]) - self.per_window + 1, 0)
-        last = timers.getCurrentWatermarkInMs() // (1000 * self.slide) - self.per_window  # start of the last final window
+        lo = int(key[1]) * self.length
+        end = lo + self.length
+        first = max(lo, int(at[0]) - self.per_window + 1) if first is None else first
+        now = timers.getCurrentWatermarkInMs()
+        last = min(now // (1000 * self.slide) - self.per_window, end - 1)  # start of the last final window
         if last >= first:
-            # A bucket enters the window that it ends and leaves after the one that it starts.
-            moves = np.concatenate([at - self.per_window + 1, at + 1])
+            # A bucket enters the window that it ends (or the range's first one) and leaves after the one that it starts.
+            moves = np.concatenate([np.maximum(at - self.per_window + 1, lo), at + 1])
             change = np.concatenate([n, -n])
-            now = (moves >= first) & (moves <= last)
-            order = np.argsort(moves[now], kind="stable")
-            moves, change = moves[now][order], change[now][order]
+            due = (moves >= first) & (moves <= last)
+            order = np.argsort(moves[due], kind="stable")
+            moves, change = moves[due][order], change[due][order]
             count = before + np.cumsum(change)
             until = np.append(moves[1:], last + 1)
             if before and (not len(moves) or moves[0] > first):
                 moves, count, until = np.insert(moves, 0, first), np.insert(count, 0, before), np.insert(until, 0, moves[0] if len(moves) else last + 1)
-            yield from self._rows(key, moves, until, count)
             before = int(count[-1]) if len(count) else before
             first = last + 1
-            for bucket in at[at < last].tolist():
-                self.buckets.removeKey((bucket,))
-            at = at[at >= last]
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if len(at):
-            self.open.update((first, before))
-            wake = max(first, int(at[0]) - self.per_window + 1) + self.per_window
-            self.handle.registerTimer(wake * self.slide * 1000)
-        else:
-            self.open.clear()
-
-    def _rows(self, key, moves: np.ndarray, until: np.ndarray, count: np.ndarray) -> Iterator[pd.DataFrame]:
-        """A row for each window from moves[i] to until[i] - 1, in bounded frames."""
-        kept = (count > 0) & (until > moves)
-        moves, until, count = moves[kept], until[kept], count[kept]
-        lengths = until - moves
-        ends = np.cumsum(lengths)
-        for lo in range(0, int(ends[-1]) if len(ends) else 0, FRAME_ROWS):
-            row = np.arange(lo, min(lo + FRAME_ROWS, int(ends[-1])))
-            run = np.searchsorted(ends, row, side="right")
-            start = moves[run] + row - (ends[run] - lengths[run])
-            yield pd.DataFrame({"start": start * self.slide, self.key: pd.Series([key[0]] * len(row), dtype="object" if self.kind == "string" else None),
-                                "n": count[run]})
+            n, at = n[at >= last], at[at >= last]
+            kept = (count > 0) & (until > moves)
+            if kept.any():
+                yield pd.DataFrame({"start": moves[kept], "until": until[kept], self.key: pd.Series([key[0]] * int(kept.sum()), dtype="object"),
+                                    "n": count[kept]})
+        due = (max(first, int(at[0]) - self.per_window + 1) + self.per_window) * self.slide * 1000 if len(at) and first < end else 0
+        if wake != due:
+            if wake > now:  # otherwise it has fired
+                self.handle.deleteTimer(wake)
+            if due:
+                self.handle.registerTimer(due)
+        if due:
+            self.buckets.update((at.tolist(), n.tolist(), first, before, due))
+        elif held:
+            self.buckets.clear()
 
     def close(self) -> None:
         pass
@@ -130,19 +126,27 @@ def sliding_changes_stream(df: DataFrame, ts: str, key: str, size_seconds: int,
 
     Rows are counted in buckets of one slide by a streaming aggregate (with a
     partial sum before the shuffle, so a hot key comes as a row per slide). The
-    windows are then kept by add and subtract in `transformWithStateInPandas`: the
-    state has one row per key and bucket, whatever the size and slide, and each
-    step costs the buckets that enter and leave. A timer wakes a key without new
-    rows at its next window's end. Needs the RocksDB state store. Rows without a
-    time are in no window; null keys are a key."""
+    windows are then kept by add and subtract in `transformWithStateInPandas`, in a
+    state row for each key and range of RANGE_SECONDS of window starts, so that a key
+    is not one task: a range holds the buckets that its windows hold, whatever the
+    slide (those within a window's size of a cut are in two ranges), and each step
+    costs the buckets that enter and leave. What comes out of Python is a row per
+    stretch of windows of equal count; the windows are filled in above it. A timer
+    wakes a range without new rows at its next window's end. Needs the RocksDB state
+    store. Rows without a time are in no window; null keys are a key."""
     if size_seconds % slide_seconds:
         raise ValueError("size must be a multiple of slide")
     kind = df.schema[key].dataType.simpleString()
     zone_free = isinstance(df.schema[ts].dataType, T.TimestampNTZType)
+    per_window, length = size_seconds // slide_seconds, -(-max(RANGE_SECONDS, size_seconds) // slide_seconds)
     events = _event_time(df.select(ts, key), ts).withWatermark(ts, watermark)
     buckets = events.groupBy(F.window(ts, f"{slide_seconds} seconds").alias("b"), key).agg(F.count(F.lit(1)).alias("n"))
-    narrow = buckets.select(F.window_time("b").alias("t"), key, F.floor(F.unix_seconds("b.start") / slide_seconds).alias("bucket"), "n")
-    out = narrow.groupBy(key).transformWithStateInPandas(
-        _Slides(key, kind, size_seconds // slide_seconds, slide_seconds), f"start long, `{key}` {kind}, n long", "Append", "eventTime")
-    when = lambda c: F.timestamp_seconds(c).cast("timestamp_ntz" if zone_free else "timestamp")
-    return out.select(when(F.col("start")).alias("window_start"), when(F.col("start") + size_seconds).alias("window_end"), key, "n")
+    narrow = buckets.select(F.window_time("b").alias("t"), as_text(key).alias(key), F.floor(F.unix_seconds("b.start") / slide_seconds).alias("bucket"), "n")
+    ranges = F.sequence(F.floor((F.col("bucket") - (per_window - 1)) / length), F.floor(F.col("bucket") / length))
+    placed = narrow.select("*", F.explode(ranges).alias("_range"))
+    runs = placed.groupBy(key, "_range").transformWithStateInPandas(
+        _Slides(key, per_window, slide_seconds, length), f"start long, until long, `{key}` string, n long", "Append", "eventTime")
+    out = runs.select(F.explode(F.sequence("start", F.col("until") - 1)).alias("start"), F.col(key).cast(kind).alias(key), "n")
+    when = lambda c: F.timestamp_seconds(c * slide_seconds).cast("timestamp_ntz" if zone_free else "timestamp")
+    windows = F.col("start"), F.col("start") + per_window
+    return out.select(*[when(c).alias(x) for c, x in zip(windows, ("window_start", "window_end"))], key, "n")

@@ -6,10 +6,13 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from spindle.operators.sliding import sliding_counts
+from spindle.plans.streams import _stretches
 from spindle.streaming import replay
 from spindle.streaming.groups import STATE_GROUPS
 from spindle.streaming.replay import ROCKSDB, Run
 from spindle.streaming.sensor import sensor_state_stream, sensor_states
+from spindle.streaming.sliding import sliding_changes_stream
 
 SETTINGS = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
 BIG = 2**53 + 1  # no whole number of floating point
@@ -43,3 +46,29 @@ def test_a_small_batch_beside_a_large_one_has_as_many_files(spark, scratch, monk
     run = Run(df, "batch", lambda rows: rows, "files", "append", path=f"{scratch}/run").all()
     assert run.delivery.files >= most
     assert plainly(run.result("x bigint").collect()) == plainly(df.collect())
+
+
+def test_sliding_state_is_a_row_for_each_range(spark, scratch):
+    """A key with an event each second, over the cut of two ranges; then the rest."""
+    rows = [(START + dt.timedelta(seconds=s), k, int(s >= 4000)) for s in range(3000, 5000) for k in ("a", None) if s % 7 or k]
+    df = spark.createDataFrame([*rows, (START + dt.timedelta(days=1), "z", 1)], "ts timestamp_ntz, k string, batch int")
+    run = Run(df, "batch", lambda s: sliding_changes_stream(s, "ts", "k", 300, 1, "10 seconds"), "ranges", "append",
+              settings=SETTINGS, path=f"{scratch}/run")
+    run.delivery.deliver(spark, 0, 1)
+    run.start()
+    state = run.session.read.format("statestore").option("operatorId", 0).option("stateVarName", "buckets").load(run.checkpoint)
+    assert 0 < state.count() <= 4  # not the 300 open buckets of each key
+    run.delivery.deliver(spark, 1, 2)
+    run.start()
+    got = run.result("window_start timestamp_ntz, window_end timestamp_ntz, k string, n bigint", by_batch=False)
+    want = sliding_counts(df.where("k IS DISTINCT FROM 'z'"), "ts", "k", 300, 1)
+    assert plainly(got.collect()) == plainly(want.select(got.columns).collect())
+
+
+def test_batches_of_a_long_table_are_few(spark):
+    days = spark.createDataFrame([(START + dt.timedelta(days=i),) for i in range(3000)], "ts timestamp_ntz")
+    assert 5 <= days.select(_stretches(days, "ts", 5 * 86400, 8)).distinct().count() <= 9
+    month = days.limit(30)
+    assert month.select(_stretches(month, "ts", 5 * 86400, 8)).distinct().count() == 7
+    none = days.where(F.lit(False))
+    assert none.select(_stretches(none, "ts", 5 * 86400, 8)).count() == 0
