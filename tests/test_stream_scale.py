@@ -12,6 +12,7 @@ from spindle.streaming import replay
 from spindle.streaming.groups import STATE_GROUPS
 from spindle.streaming.replay import ROCKSDB, Run
 from spindle.streaming.sensor import sensor_state_stream, sensor_states
+from spindle.streaming.sessions import closed_sessions_stream
 from spindle.streaming.sliding import sliding_changes_stream
 
 SETTINGS = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
@@ -65,6 +66,19 @@ def test_sliding_state_is_a_row_for_each_range(spark, scratch):
     assert plainly(got.collect()) == plainly(want.select(got.columns).collect())
 
 
+def test_session_state_rows_do_not_grow_with_the_keys(spark, scratch):
+    keys = [None, BIG, *range(KEYS)]
+    rows = [(k, START + dt.timedelta(seconds=s), s, 60, None, s == 20, s // 30) for k in keys for s in (0, 10, 20, 30)]
+    df = spark.createDataFrame([*rows, (7, START + dt.timedelta(days=1), 99, 1, 1, None, 2)],
+                               "session_id bigint, ts timestamp_ntz, event_id bigint, heart_rate int, calorie int, is_marker boolean, batch int")
+    run = Run(df, "batch", lambda s: closed_sessions_stream(s, 100, watermark="5 seconds"), "groups", "append", settings=SETTINGS,
+              path=f"{scratch}/run").all()
+    state = run.session.read.format("statestore").option("operatorId", 0).option("stateVarName", "open").load(run.checkpoint)
+    assert 0 < state.count() <= STATE_GROUPS
+    got = run.result("session_id bigint, session_no bigint, n bigint, total_hr bigint, total_cal bigint, closed_by string", by_batch=False)
+    assert plainly(got.collect()) == plainly([(k, *s) for k in keys for s in ((0, 2, 120, 0, "marker"), (1, 1, 60, 0, "idle"))])
+
+
 def test_batches_of_a_long_table_are_few(spark):
     days = spark.createDataFrame([(START + dt.timedelta(days=i),) for i in range(3000)], "ts timestamp_ntz")
     assert 5 <= days.select(_stretches(days, "ts", 5 * 86400, 8)).distinct().count() <= 9
