@@ -61,15 +61,17 @@ def own_exchange(df: DataFrame, key: str) -> DataFrame:
 
 def tfidf(tf: DataFrame, idf: DataFrame, term: str = "term") -> DataFrame:
     """Join on term. Neither side has a size bound (the vocabulary grows with
-    the corpus), so the join strategy is left to AQE, which also splits a hot
-    term's partition: a word like "the" is in nearly every document, so the
-    (small) IDF side gets an exchange of its own.
+    the corpus), so both are dealt out by term and AQE splits a hot term's
+    partition: a word like "the" is in nearly every document, so the (small) IDF
+    side gets an exchange of its own. That side has a row per term and is the one
+    hashed; the rows of (doc, term), the bulk of the job, are not sorted.
 
     The term frequency shuffle is shared with the IDF branch (see
     `inverse_document_frequencies`). The alternative, one shuffle of
     (doc, term) rows by term feeding both the document counts and a
     co-partitioned join, would put every row of a hot term in one task."""
-    return tf.join(own_exchange(idf.select(term, "idf"), term), term).withColumn("tfidf", F.col("tf") * F.col("idf"))
+    terms = own_exchange(idf.select(term, "idf"), term).hint("shuffle_hash")
+    return tf.join(terms, term).withColumn("tfidf", F.col("tf") * F.col("idf"))
 
 
 def hashed_tfidf_stages(num_features: int, text: str = "sentence"):

@@ -35,7 +35,7 @@ from spindle.operators.wordcount import line_words, text_to_lines, top_words, wo
 from spindle.plans import derived
 from spindle.sources.json import TWEET_SCHEMA, project_json
 from spindle.sources.kafka import kafka_value
-from spindle.sources.tables import read_table
+from spindle.sources.tables import read_table, smaller_parts
 from spindle.session import ensure_checkpoint_dir
 from spindle.sinks.models import model_path, save_model
 from spindle.sources.text import (one_class_text, parse_csv_layout_a, parse_csv_layout_b, parse_csv_quoted,
@@ -245,7 +245,8 @@ def tokens(spark: SparkSession, d: str) -> DataFrame:
 
 
 def tf(spark: SparkSession, d: str) -> DataFrame:
-    return feat.term_frequencies(tokens(spark, d))
+    docs = read_table(spark, d, "documents", ["doc_id", "text"], spread_key="doc_id")
+    return feat.term_frequencies(feat.doc_tokens(smaller_parts(docs, "doc_id")))
 
 
 def _idf(spark: SparkSession, d: str) -> DataFrame:
